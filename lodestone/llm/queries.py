@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import sharding
+from lodestone.llm import minhash, sharding
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -24,3 +24,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 24 shards of near-equal bytes, equal texts together."""
     return sharding.shard(table(spark, sf_dir, "documents"), 24).drop("group_key")
+
+
+@query
+def op2_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: 3-word shingles, similarity 0.85 or more."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
+
+
+ORACLES["op2_bbit_minhash"] = r"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), shingled AS MATERIALIZED (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+  FROM words
+), classes AS MATERIALIZED (
+  SELECT min(doc_id) AS rep, list_sort(s) AS s, len(s) AS n FROM shingled WHERE len(s) > 0 GROUP BY list_sort(s), len(s)
+), each AS MATERIALIZED (
+  SELECT rep, n, unnest(s) AS x FROM classes
+), common AS (
+  SELECT a.rep AS u, b.rep AS v, any_value(a.n) AS m, any_value(b.n) AS n, count(*) AS k
+  FROM each a JOIN each b ON a.x = b.x AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY ALL
+), links AS MATERIALIZED (
+  SELECT u, v FROM common WHERE 100 * k >= 85 * (m + n - k)
+), both_ways AS MATERIALIZED (
+  SELECT u, v FROM links UNION SELECT v, u FROM links
+), reach(a, b) AS (
+  SELECT rep, rep FROM classes
+  UNION
+  SELECT r.a, e.v FROM reach r JOIN both_ways e ON r.b = e.u
+), grouped AS (
+  SELECT a AS rep, min(b) AS component FROM reach GROUP BY a
+), class_of AS (
+  SELECT d.doc_id, c.rep FROM shingled d JOIN classes c ON list_sort(d.s) = c.s
+)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(g.component, d.doc_id) AS component_id, coalesce(g.component, d.doc_id) = d.doc_id AS kept
+FROM shingled d LEFT JOIN class_of c ON d.doc_id = c.doc_id LEFT JOIN grouped g ON c.rep = g.rep
+"""
