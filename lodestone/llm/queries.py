@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import minhash, sharding
+from lodestone.llm import minhash, quality, sharding
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +64,48 @@ WITH RECURSIVE words AS MATERIALIZED (
 SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(g.component, d.doc_id) AS component_id, coalesce(g.component, d.doc_id) = d.doc_id AS kept
 FROM shingled d LEFT JOIN class_of c ON d.doc_id = c.doc_id LEFT JOIN grouped g ON c.rep = g.rep
 """
+
+
+@query
+def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict of the line-first rules for all documents."""
+    return quality.clean_and_judge(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
+_PHRASES = " OR ".join(f"contains(lower(line), '{p}')" for p in quality.BOILERPLATE)
+_MENU = ", ".join(f"'{w}'" for w in quality.NAVIGATION)
+ORACLES["op6_line_rules"] = rf"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents
+), w AS MATERIALIZED (
+  SELECT k, doc_id, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d
+), grams AS MATERIALIZED (
+  SELECT k, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT k, w, unnest(range(1, len(w) - 1)) AS i FROM w)
+), twice AS (
+  SELECT k, unnest([i, i + 1, i + 2]) AS p FROM grams JOIN (SELECT k, g FROM grams GROUP BY k, g HAVING count(*) > 1) USING (k, g)
+), repeated AS (
+  SELECT k, count(DISTINCT p) AS n_repeat_words FROM twice GROUP BY k
+), lines AS MATERIALIZED (
+  SELECT k, line FROM (SELECT k, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), judged AS (
+  SELECT k, line, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars,
+    ({_PHRASES} OR trim(lower(line)) IN ({_MENU})
+     OR (bars >= 3 AND bars * 4 >= n_words) OR symbols > length(line) * CAST(0.1 AS DOUBLE) OR (shouts > 0 AND shouts * 5 >= n_words)) AS bad
+  FROM (SELECT *, length(line) - length(replace(line, '|', '')) AS bars,
+      length(line) - length(translate(line, '#*$%&|<>{{}}', '')) AS symbols,
+      len(regexp_extract_all(line, '[!?]{{2,}}(?:[\x20\x09-\x0D]|\z)')) AS shouts,
+      greatest(len(regexp_split_to_array(trim(line), ' +')), 1) AS n_words FROM lines)
+), summed AS (
+  SELECT k, count(*) AS n_lines, count(*) FILTER (bad) AS n_failed_lines, coalesce(sum(chars) FILTER (bad), 0) AS lost_chars, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM judged GROUP BY k
+), base AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(n_lines, 0) AS INTEGER) AS n_lines,
+    CAST(coalesce(n_failed_lines, 0) AS INTEGER) AS n_failed_lines, CAST(coalesce(lost_chars, 0) AS BIGINT) AS lost_chars
+  FROM w LEFT JOIN repeated USING (k) LEFT JOIN summed USING (k)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 50 OR n_repeat_words * 100 > n_words * 50) AS base_failed,
+  NOT (n_words < 50 OR n_repeat_words * 100 > n_words * 50 OR lost_chars > word_chars * CAST(0.3 AS DOUBLE) OR n_dup_lines * 2 > n_lines) AS kept, n_lines, n_failed_lines, lost_chars
+FROM base
+"""
