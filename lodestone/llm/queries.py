@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import minhash, quality, sharding
+from lodestone.llm import minhash, quality, sharding, urlfilter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +109,9 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_w
   NOT (n_words < 50 OR n_repeat_words * 100 > n_words * 50 OR lost_chars > word_chars * CAST(0.3 AS DOUBLE) OR n_dup_lines * 2 > n_lines) AS kept, n_lines, n_failed_lines, lost_chars
 FROM base
 """
+
+
+@query
+def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, fitting rule and verdict for the url of every page."""
+    return urlfilter.judge_urls(table(spark, sf_dir, "pages")).drop("score")
