@@ -51,3 +51,11 @@ def utf8_bytes(text: Column) -> Column:
 def key128(text: Column) -> Column:
     """128-bit key of a text; null has a key of its own."""
     return F.coalesce(F.unhex(F.md5(text)), F.lit(b""))
+
+
+def byte_alphabet() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: printable
+    Latin-1 bytes stand for themselves, the others follow from U+0100 on, in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return [chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)]

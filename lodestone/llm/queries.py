@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import minhash, quality, sharding, urlfilter
+from lodestone.llm import minhash, quality, sharding, tokencount, urlfilter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -115,3 +116,9 @@ FROM base
 def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, fitting rule and verdict for the url of every page."""
     return urlfilter.judge_urls(table(spark, sf_dir, "pages")).drop("score")
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents under word_bpe_49k.json, and which exceed 2048."""
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
