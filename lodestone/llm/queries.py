@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import minhash, quality, sharding, tokencount, urlfilter
+from lodestone.llm import decontaminate, minhash, quality, sharding, tokencount, urlfilter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -122,3 +122,38 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of all documents under word_bpe_49k.json, and which exceed 2048."""
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op7_aho_corasick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that lie in 10-word windows of benchmark items."""
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+    hit = F.aggregate("ranges", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    digest = F.sha2(F.array_join(F.array_sort("items"), ","), 256)
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+ORACLES["op7_aho_corasick"] = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS k, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+  FROM documents
+), b AS MATERIALIZED (
+  SELECT item_id, w, least(len(w), 10) AS size FROM (
+    SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM benchmark)
+  WHERE len(w) > 0
+), wins AS MATERIALIZED (
+  SELECT DISTINCT item_id, size, array_to_string(w[i : i + size - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM b)
+), sizes AS (
+  SELECT DISTINCT size FROM wins
+), spots AS MATERIALIZED (
+  SELECT k, i, size, array_to_string(w[i : i + size - 1], ' ') AS g FROM (SELECT k, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)
+), found AS MATERIALIZED (
+  SELECT k, i, size, item_id FROM spots JOIN wins USING (size, g)
+), words AS (
+  SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(range(i, i + size)) AS p FROM found) GROUP BY k
+), items AS (
+  SELECT k, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT k, CAST(item_id AS VARCHAR) AS x FROM found) GROUP BY k
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (k) LEFT JOIN items USING (k)
+"""
