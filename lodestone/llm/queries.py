@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, minhash, quality, sharding, tokencount, urlfilter
+from lodestone.llm import decontaminate, minhash, quality, sharding, tokencount, urlfilter, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -157,3 +157,28 @@ WITH d AS MATERIALIZED (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (k) LEFT JOIN items USING (k)
 """
+
+
+@query
+def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through WARC files and back: sizes, digests, revisits."""
+    back = warc.archive_pages(table(spark, sf_dir, "pages"))
+    number = lambda c: F.regexp_extract(c, r"urn:page:(-?\d+)", 1).try_cast("long")
+    return back.select(
+        number("record_id").alias("page_id"),
+        F.coalesce(F.octet_length("payload").cast("long"), "payload_length").alias("payload_bytes"),
+        F.coalesce(F.sha2("payload", 256), F.substring_index("payload_digest", ":", -1)).alias("payload_digest"),
+        "record_type",
+        number("refers_to").alias("refers_to"),
+    )
+
+
+ORACLES["op5_warc_archive"] = """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
