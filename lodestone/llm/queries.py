@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, minhash, quality, sharding, tokencount, urlfilter, warc
+from lodestone.llm import bpe, decontaminate, minhash, quality, sharding, tokencount, urlfilter, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -182,3 +182,13 @@ WITH p AS (
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)
 """
+
+
+@query
+def op4_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents under byte_bpe_50k.json and their text decoded again, as digests."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    kept = ids.select("doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"))
+    back = bpe.decode(kept, path)
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
