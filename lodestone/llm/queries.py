@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, decontaminate, minhash, quality, sharding, tokencount, urlfilter, warc
+from lodestone.llm import bpe, decontaminate, linededup, minhash, quality, sharding, tokencount, urlfilter, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -192,3 +192,10 @@ def op4_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = ids.select("doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"))
     back = bpe.decode(kept, path)
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query
+def op3_patience_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages that an earlier document holds."""
+    clean = linededup.remove_shared_passages(table(spark, sf_dir, "documents"))
+    return clean.select("doc_id", "n_lines", "n_deleted", "kept", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"), "text")
