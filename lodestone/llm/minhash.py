@@ -152,6 +152,72 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
     return dealt.mapInArrow(_confirm(size, percent), "u long, v long")
 
 
+def _cross(size: int, percent: int):
+    """Rows come sorted by (cluster, i, j, side): the left block is held as an inverted index,
+    the right one streams past it; yields a link for each two components that it finds linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, sets, owners, index = None, [], [], None
+        for batch in batches:
+            us, vs = [], []
+            columns = [batch.column(c).to_pylist() for c in ("cluster", "i", "j", "side", "node", "component", "main")]
+            texts = batch.column("text").cast(pa.binary())
+            for k, (cluster, i, j, side, node, component, main) in enumerate(zip(*columns, strict=True)):
+                if group != (cluster, i, j):
+                    group, sets, owners, index = (cluster, i, j), [], [], None
+                own = shingle_set(texts[k].as_buffer().to_pybytes() if texts[k].is_valid else None, size)
+                if side == 0:
+                    sets.append(own)
+                    owners.append((node, component))
+                    continue
+                if not sets or not len(own):
+                    continue
+                if index is None:
+                    lengths = np.array([len(s) for s in sets])
+                    keys, at = np.concatenate(sets), np.repeat(np.arange(len(sets)), lengths)
+                    order = np.argsort(keys, kind="stable")
+                    nodes, components_ = (np.array([o[x] for o in owners]) for x in (0, 1))
+                    index = keys[order], at[order]
+                low, high = np.searchsorted(index[0], own, "left"), np.searchsorted(index[0], own, "right")
+                spread = high - low
+                hits = np.repeat(low - np.cumsum(spread) + spread, spread) + np.arange(spread.sum())
+                common = np.bincount(index[1][hits], minlength=len(sets))
+                fits = (100 * common >= percent * (lengths + len(own) - common)) & (components_ != component)
+                if component != main:
+                    fits &= nodes < node
+                found = np.flatnonzero(fits)
+                for x in found[np.unique(components_[found], return_index=True)[1]]:
+                    us.append(int(nodes[x]))
+                    vs.append(node)
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+
+    return run
+
+
+def _within_clusters(clusters: DataFrame, linked: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between components of one cluster, as ``(u, v)``.
+
+    In a cluster of several components, the documents outside its largest one
+    are compared with all its documents, block by block on full sets; pairs are
+    counted inside a task and never become rows.
+    """
+    nodes = clusters.join(linked, "node", "left").select("cluster", "node", F.coalesce("component", "node").alias("component"))
+    parts = nodes.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+    mixed = parts.groupBy("cluster").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("in_main"), F.count("*").alias("parts")
+    )
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    mixed = mixed.where("parts > 1").select("cluster", "main", blocks(F.col("n") - F.col("in_main")).alias("left_blocks"), blocks(F.col("n")).alias("right_blocks"))
+    rows = nodes.join(mixed, "cluster")
+    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = rows.where("component <> main").withColumn("i", place("left_blocks")).withColumn("j", every("right_blocks")).withColumn("side", F.lit(0))
+    right = rows.withColumn("j", place("right_blocks")).withColumn("i", every("left_blocks")).withColumn("side", F.lit(1))
+    both = left.select("cluster", "i", "j", "side", "node", "component", "main").union(right.select("cluster", "i", "j", "side", "node", "component", "main"))
+    dealt = both.join(texts.withColumnRenamed("doc_id", "node"), "node").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "side")
+    return dealt.mapInArrow(_cross(size, percent), "u long, v long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """Groups of documents linked by a shingle-set similarity of ``percent`` / 100 or more.
 
@@ -164,11 +230,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     each band bucket every class is paired with the bucket's smallest class only;
     pairs whose collision-corrected similarity estimate (bit counts over the
     planes) lies six standard deviations below the threshold go, the others are
-    confirmed on full sets. What those links leave apart is then compared: in
-    buckets that hold several components the classes outside the bucket's largest
-    component are estimated against all classes of other components, and
-    confirmed likewise. So no bucket is capped, and pairs within a component,
-    which can change nothing, are never formed.
+    confirmed on full sets. Pairs that passed the estimate also make clusters: in
+    buckets that hold several clusters, classes outside the bucket's largest one
+    are estimated against all of the others, and confirmed likewise. Last, in
+    clusters that the links leave in several components, the documents outside
+    the largest component are compared with the whole cluster on full sets, block
+    by block. So no bucket or group is capped, pairs within a component, which can
+    change nothing, are never formed, and pairs of a large group never become rows.
 
     Texts are lower-cased (A-Z); words are runs other than space and controls 9
     to 13; a text of fewer words than a shingle counts as one shingle. Null and
@@ -196,28 +264,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return both.where(_sizes_fit("a", "b", percent) & _agree("a", "b", most)).select("centre", "member").distinct()
 
     stars = materialise(estimated(shared.where("rep <> centre").select("centre", F.col("rep").alias("member")).distinct()), "stars")
-    links = materialise(_confirmed(stars, own, shingle_words, percent), "links")
-    first = materialise(components(links), "components")
+    clusters = materialise(components(stars.select(F.col("centre").alias("u"), F.col("member").alias("v"))).select("node", F.col("component").alias("cluster")), "clusters")
 
-    # Buckets that still hold several components.
-    placed = shared.join(first, shared["rep"] == first["node"], "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
-    parts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = parts.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main")
+    # Pairs that share a bucket but no cluster.
+    placed = shared.join(clusters, shared["rep"] == clusters["node"], "left").select("key", "rep", F.coalesce("cluster", "rep").alias("cluster"))
+    parts = placed.groupBy("key", "cluster").agg(F.count("*").alias("n"))
+    mixed = parts.groupBy("key").agg(F.max_by("cluster", F.struct("n", "cluster")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main")
     open_rows = placed.join(mixed, "key").join(signs, "rep")
-    others = open_rows.where("component <> main").select("key", F.struct("rep", "component", "main", "n", "s").alias("a"))
-    everyone = open_rows.select("key", F.struct("rep", "component", "main", "n", "s").alias("b"))
-    # Of two outsiders the one with the smaller id is the left one; a member of the main component is always the right one.
-    once = (F.col("b.component") == F.col("b.main")) | (F.col("a.rep") < F.col("b.rep"))
-    rest = (
+    others = open_rows.where("cluster <> main").select("key", F.struct("rep", "cluster", "main", "n", "s").alias("a"))
+    everyone = open_rows.select("key", F.struct("rep", "cluster", "main", "n", "s").alias("b"))
+    # Of two outsiders the one with the smaller id is the left one; a member of the main cluster is always the right one.
+    once = (F.col("b.cluster") == F.col("b.main")) | (F.col("a.rep") < F.col("b.rep"))
+    apart = (
         others.join(everyone, "key")
-        .where((F.col("a.component") != F.col("b.component")) & once & _sizes_fit("a", "b", percent) & _agree("a", "b", most))
+        .where((F.col("a.cluster") != F.col("b.cluster")) & once & _sizes_fit("a", "b", percent) & _agree("a", "b", most))
         .select(F.least("a.rep", "b.rep").alias("centre"), F.greatest("a.rep", "b.rep").alias("member"))
         .distinct()
     )
-    rest = materialise(rest.join(stars, ["centre", "member"], "left_anti"), "rest")
-    more = _confirmed(rest, own, shingle_words, percent)
-    edges = more.union(first.select(F.col("node").alias("u"), F.col("component").alias("v")))
-    last = components(edges)
+    pairs = materialise(stars.union(apart), "pairs")
+    involved = pairs.select(F.col("centre").alias("doc_id")).union(pairs.select(F.col("member").alias("doc_id"))).distinct()
+    texts = materialise(own.join(involved, "doc_id"), "texts")
+
+    links = materialise(_confirmed(pairs, texts, shingle_words, percent), "links")
+    first = materialise(components(links), "components")
+    more = _within_clusters(clusters, first, texts, shingle_words, percent)
+    last = components(more.union(first.select(F.col("node").alias("u"), F.col("component").alias("v"))))
 
     rep_of = classes.select("set_a", "set_b", F.col("n").alias("n_shingles"), "rep")
     found = signed.select("doc_id", "n_shingles", "set_a", "set_b").join(rep_of, ["set_a", "set_b", "n_shingles"], "left")
