@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, decontaminate, linededup, minhash, quality, sharding, tokencount, urlfilter, warc
+from lodestone.llm import bpe, decontaminate, linededup, minhash, quality, sharding, tokencount, toxicity, urlfilter, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -199,3 +199,12 @@ def op3_patience_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the passages that an earlier document holds."""
     clean = linededup.remove_shared_passages(table(spark, sf_dir, "documents"))
     return clean.select("doc_id", "n_lines", "n_deleted", "kept", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"), "text")
+
+
+@query
+def op8_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; learnt from the labelled rows that are not held out."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    known = table(spark, sf_dir, "labels").where(~held_out)
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), known)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
