@@ -1,6 +1,649 @@
-"""Queries of the engine bound to the driver's tables, with their DuckDB twins."""
+"""Queries of the engine bound to the driver's tables, with their DuckDB twins.
+
+The tables hold no course sheet, so each operator is bound to a table that can
+exercise it: parts stand for course rows (brand: site), pages for pages, events
+for observations of urls.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from lodestone.functions import html, names, similarity, urls
+from lodestone.operators import catalog, history, ingest, matching, packing, reports, search, triage, verify
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+# --- pieces of SQL that several twins share ---------------------------------------------
+def _netloc(u: str) -> str:
+    return f"regexp_extract({u}, '^(?:[^:/?#]+:)?(?://([^/?#]*))?', 1)"
+
+
+def _path(u: str) -> str:
+    return f"regexp_extract({u}, '^(?:[^:/?#]+:)?(?://[^/?#]*)?([^?#]*)', 1)"
+
+
+def _site(u: str) -> str:
+    p = f"list_filter(string_split(lower({_netloc(u)}), '.'), lambda x: x <> '')"
+    last = lambda k: f"array_to_string(list_slice({p}, -{k}, -1), '.')"
+    return f"(CASE WHEN len({p}) <= 2 THEN array_to_string({p}, '.') WHEN length({p}[-1]) = 2 AND length({p}[-2]) <= 3 THEN {last(3)} ELSE {last(2)} END)"
+
+
+_VIEW = ", ".join(f"'{p}'" for p in urls.VIEW_PARAMS)
+
+
+def _clean(u: str) -> str:
+    query_ = f"regexp_extract({u}, '^[^?#]*\\?([^#]*)', 1)"
+    kept = f"array_to_string(list_filter(string_split({query_}, '&'), lambda p: regexp_matches(p, '^[^=]*=.') AND NOT lower(string_split(p, '=')[1]) IN ({_VIEW}) AND NOT regexp_matches(lower(p), '^(utm_|fbclid|gclid)')), '&')"
+    path = f"CASE WHEN rtrim({_path(u)}, '/') = '' THEN '/' ELSE rtrim({_path(u)}, '/') END"
+    return f"(CASE WHEN regexp_matches({u}, '^https?:') THEN regexp_extract({u}, '^(https?)', 1) || '://' || {_netloc(u)} || ({path}) || (CASE WHEN {kept} = '' THEN '' ELSE '?' || {kept} END) ELSE '' END)"
+
+
+def _flat(x: str) -> str:
+    return f"trim(regexp_replace(regexp_replace({x}, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+_ANCHORS = r"""
+anchors AS (
+  SELECT page_id, url, CAST(i - 1 AS INTEGER) AS pos, hrefs[i] AS href, inner_[i] AS inner_ FROM (
+    SELECT page_id, url, hrefs, inner_, unnest(range(1, len(hrefs) + 1)) AS i FROM (
+      SELECT page_id, url, regexp_extract_all(html, '(?is)<a\b[^>]*?href\s*=\s*["'']([^"'']+)["''][^>]*>(.*?)</a>', 1) AS hrefs,
+        regexp_extract_all(html, '(?is)<a\b[^>]*?href\s*=\s*["'']([^"'']+)["''][^>]*>(.*?)</a>', 2) AS inner_ FROM pages))
+), linked AS (
+  SELECT page_id, url, pos, trim(regexp_replace(regexp_replace(inner_, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS anchor,
+    rtrim(regexp_replace(regexp_extract(url, '^(https?://[^/?#]*)', 1) || href, '[?#].*$', ''), '/') AS link FROM anchors
+)"""
+
+
+# --- pages --------------------------------------------------------------------------------
+@query(f"SELECT page_id, {_flat("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title, {_flat("regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)")} AS heading FROM pages")
+def page_titles(spark, sf):
+    return table(spark, sf, "pages").select("page_id", html.page_title(F.col("html")).alias("title"), html.page_heading(F.col("html")).alias("heading"))
+
+
+@query(f"WITH {_ANCHORS} SELECT page_id, pos, anchor, link FROM linked")
+def page_links(spark, sf):
+    return catalog.links(table(spark, sf, "pages"), "page_id")
+
+
+@query(f"SELECT page_id, {_clean('url')} AS clean FROM pages")
+def canonical_urls(spark, sf):
+    return table(spark, sf, "pages").select("page_id", urls.clean_url(F.col("url")).alias("clean"))
+
+
+def _sites(spark, sf) -> DataFrame:
+    lang = F.regexp_extract(urls.path_of(F.col("url")), "^/([^/]+)", 1)
+    return table(spark, sf, "pages").select("page_id", "url", urls.registrable(urls.netloc_of(F.col("url"))).alias("site"), lang.alias("lang"))
+
+
+@query(f"SELECT {_site('url')} AS site, count(*) AS pages FROM pages GROUP BY 1")
+def site_buckets(spark, sf):
+    return _sites(spark, sf).groupBy("site").agg(F.count("*").alias("pages"))
+
+
+@query(
+    f"WITH c AS (SELECT {_site('url')} AS site, regexp_extract({_path('url')}, '^/([^/]+)', 1) AS lang, count(*) AS n FROM pages GROUP BY ALL), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY n DESC, lang) AS k FROM c WHERE lang <> '') SELECT site, lang, n FROM r WHERE k = 1"
+)
+def site_display_name(spark, sf):
+    return ingest.most_frequent(_sites(spark, sf), "site", "lang")
+
+
+@query(f"WITH s AS (SELECT {_site('url')} AS site, count(*) AS pages FROM pages GROUP BY 1) SELECT site, pages, greatest(40, least(400, 3 * pages + 20)) AS budget FROM s")
+def page_budget(spark, sf):
+    return site_buckets(spark, sf).withColumn("budget", catalog.page_budget(F.col("pages")))
+
+
+_SHAPES = ["", "/undergraduate/x", "/courses/a-b", "/subjects/art", "/study-with-us", "/postgraduate"]
+
+
+def _shaped(spark, sf) -> DataFrame:
+    """Page urls with course-like paths put behind their host."""
+    shapes = F.array(*map(F.lit, _SHAPES))
+    base = F.concat(F.lit("https://"), urls.netloc_of(F.col("url")))
+    path = F.element_at(shapes, (F.pmod("page_id", F.lit(len(_SHAPES))) + 1).cast("int"))
+    return table(spark, sf, "pages").select("page_id", F.when(path == "", urls.clean_url(F.col("url"))).otherwise(F.concat(base, path)).alias("u"))
+
+
+_SHAPED_SQL = f"shaped AS (SELECT page_id, CASE WHEN page_id % {len(_SHAPES)} = 0 THEN {_clean('url')} ELSE 'https://' || {_netloc('url')} || ({_SHAPES!r})[page_id % {len(_SHAPES)} + 1] END AS u FROM pages)"
+
+
+@query(
+    f"WITH {_SHAPED_SQL} SELECT page_id, u, CASE WHEN regexp_matches({_path('u')}, '(?i)/(undergraduate|postgraduate|courses?|programs?|programmes?|degrees?)/[^/]+') THEN 1.0 "
+    f"WHEN regexp_matches({_path('u')}, '(?i)(subject|study-with-us|facultie|faculty|areas-of-study|a-z-of|/a-z|browse|explore-our|schools-and-departments|colleges-and-schools)') THEN 0.82 "
+    f"WHEN len(list_filter(string_split({_path('u')}, '/'), lambda s: s <> '')) >= 2 THEN 1.0 ELSE 0.9 END::DOUBLE AS specificity FROM shaped"
+)
+def url_specificity(spark, sf):
+    return _shaped(spark, sf).withColumn("specificity", urls.url_specificity(F.col("u")))
+
+
+@query(
+    f"WITH {_SHAPED_SQL} SELECT page_id, CASE WHEN regexp_matches(u, '(?i)/(undergraduate|ug|bachelor)s?(/|$)') THEN 'ug' "
+    "WHEN regexp_matches(u, '(?i)/(postgraduate|pg|master|masters|graduate|research|phd|doctoral)(/|$)') THEN 'pg' END AS level FROM shaped"
+)
+def level_from_url(spark, sf):
+    return _shaped(spark, sf).select("page_id", urls.level_from_url(F.col("u")).alias("level"))
+
+
+_STOP = ", ".join(f"'{x}'" for x in html.NAV_STOPLIST)
+_FURNITURE = " OR ".join(f"contains(low, '{x}')" for x in html.NAV_SUBSTRINGS)
+
+
+@query(
+    f"WITH {_ANCHORS}, l AS (SELECT page_id, pos, anchor, regexp_replace(lower(trim(anchor)), '[ .›»>|]+$', '') AS low FROM linked) "
+    f"SELECT page_id, pos, (anchor <> '' AND NOT (low IN ({_STOP}) OR length(low) < 3 OR length(low) > 160 OR {_FURNITURE} OR regexp_matches(low, '^[^\\pL_]+$')) "
+    "AND (len(list_filter(regexp_split_to_array(low, '\\s+'), lambda w: w <> '')) >= 2 OR (regexp_matches(low, '^[a-z]{2,12}$') AND NOT low IN "
+    "('of','and','the','in','with','for','a','an','to','at','on','by','or','into','from','hons','honours','honors')))) AS is_course FROM l"
+)
+def anchor_filter(spark, sf):
+    return catalog.links(table(spark, sf, "pages"), "page_id").select("page_id", "pos", html.looks_like_course_name(F.col("anchor")).alias("is_course"))
+
+
+@query("SELECT page_id, page_id % 7 = 0 AS soft_404 FROM pages")
+def soft_404(spark, sf):
+    """Every seventh page has its title say that it is missing; prose that does so does not count."""
+    gone = F.regexp_replace("html", "<title>", "<title>Error 404: Page not found - ")
+    said = F.when(F.pmod("page_id", F.lit(7)) == 0, gone).otherwise(F.concat("html", F.lit("<p>page not found</p>")))
+    return table(spark, sf, "pages").select("page_id", html.looks_like_soft_404(said).alias("soft_404"))
+
+
+@query(
+    r"SELECT page_id, CAST(length(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>', ' ', 'g'), "
+    r"'(?is)<style\b.*?</style>', ' ', 'g'), '(?is)<svg\b.*?</svg>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '\s+', ' ', 'g'))) AS INTEGER) AS n FROM pages"
+)
+def cache_shrink(spark, sf):
+    return table(spark, sf, "pages").select("page_id", F.length(html.shrink_page(F.col("html"))).alias("n"))
+
+
+def _page_candidates(spark, sf) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    site = urls.registrable(urls.netloc_of(F.col("url"))).alias("site_key")
+    linked = catalog.links(pages, "page_id", "url").select(site, F.lower("anchor").alias("name"), F.col("link").alias("url"), F.lit("listing").alias("source"), (F.col("page_id") * 1000 + F.col("pos")).alias("ord"))
+    titled = pages.select(site, F.lower(html.page_title(F.col("html"))).alias("name"), urls.clean_url(F.col("url")).alias("url"), F.lit("prior").alias("source"), (F.col("page_id") * 1000 + 999).alias("ord"))
+    return linked.union(titled)
+
+
+# The twin merges by the same rule on the plain lower-case name; the stems of the driver's names are compared in name_features.
+_MERGE_SQL = f"""
+WITH {_ANCHORS}, c AS (
+  SELECT {_site('url')} AS site_key, lower(anchor) AS name, link AS url, 'listing' AS source, page_id * 1000 + pos AS ord FROM linked
+  UNION ALL
+  SELECT {_site('url')}, lower({_flat("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")}), {_clean('url')}, 'prior', page_id * 1000 + 999 FROM pages
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY site_key, url ORDER BY CASE source WHEN 'listing' THEN 3 ELSE 1 END DESC, length(name) DESC, ord) AS k,
+    min(ord) OVER (PARTITION BY site_key, url) AS first FROM c
+)"""
+
+
+@query(_MERGE_SQL + " SELECT site_key, url, name, source, first AS ord FROM r WHERE k = 1")
+def candidate_merge(spark, sf):
+    """Best candidate of each url: the merge by (url, stem) with one stem for all names."""
+    rank = F.when(F.col("source") == "listing", 3).otherwise(1)
+    best = F.struct(rank.alias("r"), F.length("name").alias("n"), (-F.col("ord")).alias("o"))
+    return _page_candidates(spark, sf).groupBy("site_key", "url").agg(F.max_by(F.struct("name", "source"), best).alias("c"), F.min("ord").alias("ord")).select("site_key", "url", "c.name", "c.source", "ord")
+
+
+@query()
+def candidate_merge_stems(spark, sf):
+    """The same candidates merged by (url, variant stem)."""
+    return catalog.merge_candidates(_page_candidates(spark, sf), "site_key")
+
+
+@query(
+    f"WITH {_ANCHORS}, p AS (SELECT {_site('url')} AS site_key, count(*) AS expected_rows FROM pages GROUP BY 1), "
+    f"c AS (SELECT {_site('url')} AS site_key, count(DISTINCT link) AS candidates FROM linked WHERE length(anchor) >= 3 AND NOT regexp_matches(anchor, '^[^\\pL_]+$') GROUP BY 1) "
+    "SELECT site_key, expected_rows, coalesce(candidates, 0) AS candidates, coalesce(candidates, 0) >= 5 AND coalesce(candidates, 0) >= 0.4 * expected_rows AS healthy FROM p LEFT JOIN c USING (site_key)"
+)
+def extraction_health(spark, sf):
+    """Which sites have enough distinct link targets to be matched."""
+    pages = table(spark, sf, "pages")
+    site = urls.registrable(urls.netloc_of(F.col("url"))).alias("site_key")
+    found = catalog.links(pages, "url").where((F.length("anchor") >= 3) & ~F.col("anchor").rlike(r"^[^\p{L}_]+$")).select(site, "link").distinct()
+    return catalog.extraction_health(found, pages.groupBy(site).agg(F.count("*").alias("expected_rows")))
+
+
+# --- events -------------------------------------------------------------------------------
+_CODES = {"view": 200, "click": 200, "signup": 404, "error": 403, "purchase": 429}
+
+
+def _fetches(spark, sf) -> DataFrame:
+    code = F.lit(None).cast("int")
+    for kind, c in _CODES.items():
+        code = F.when((F.col("event_type") == kind) & (F.pmod("user_id", F.lit(5)) != F.lit(c % 5)), c).otherwise(code)
+    return table(spark, sf, "events").select("user_id", code.alias("status"))
+
+
+_FETCH_SQL = "f AS (SELECT user_id, CASE " + " ".join(f"WHEN event_type = '{k}' AND user_id % 5 <> {c % 5} THEN {c}" for k, c in _CODES.items()) + " END AS status FROM events)"
+
+
+@query(f"WITH {_FETCH_SQL} SELECT user_id, status, count(*) AS n FROM f WHERE status IS NOT NULL GROUP BY ALL")
+def status_histogram(spark, sf):
+    return catalog.status_histogram(_fetches(spark, sf), "user_id")
+
+
+@query(
+    f"WITH {_FETCH_SQL}, h AS (SELECT user_id, count(*) AS resolved, count(*) FILTER (status IN (401, 403, 429, 451)) AS refused, count(*) FILTER (status = 200) AS ok FROM f WHERE status IS NOT NULL GROUP BY 1) "
+    "SELECT user_id, resolved, CASE WHEN refused >= 0.8 * resolved THEN 'blocked' WHEN ok = 0 THEN 'no_hub' ELSE '' END AS verdict, refused > 0 AND ok = 0 AS refusing FROM h"
+)
+def probe_verdict(spark, sf):
+    return catalog.probe_verdicts(status_histogram(spark, sf), "user_id").select("user_id", "resolved", "verdict", "refusing")
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def json_props(spark, sf):
+    return table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+@query()
+def json_walk(spark, sf):
+    """Candidates in nested documents made of page titles and urls."""
+    pages = table(spark, sf, "pages").select("page_id", "url", html.page_title(F.col("html")).alias("title"))
+    body = F.to_json(F.struct(F.array(F.struct("title", F.col("url").alias("link"), F.array(F.struct(F.concat(F.lit("Course "), "page_id").alias("name"), F.lit("/x/y").alias("path"))).alias("more"))).alias("items")))
+    return catalog.json_candidates(pages.withColumn("text", body), "page_id")
+
+
+_SEEN = "e AS (SELECT user_id, event_type, ts, event_id, CASE WHEN event_type = 'purchase' THEN ts END AS v FROM events)"
+
+
+def _observed(spark, sf) -> DataFrame:
+    e = table(spark, sf, "events")
+    run = F.lpad(F.col("event_id").cast("string"), 12, "0")
+    return e.select(
+        F.col("user_id").alias("course_id"), F.col("event_type").alias("url"), F.col("ts").alias("first_seen"), F.col("ts").alias("last_seen"),
+        F.when(F.col("event_type") == "purchase", F.col("ts")).alias("last_verified"), F.col("event_type").alias("status"), run.alias("first_run"), run.alias("last_run"),
+    )
+
+
+def _history(spark, sf) -> DataFrame:
+    seen = _observed(spark, sf)
+    half = F.pmod("user_id_", F.lit(2)) == 0
+    seen = seen.withColumn("user_id_", F.col("course_id"))
+    return history.upsert_history(seen.where(half), seen.where(~half))
+
+
+@query(
+    f"WITH {_SEEN} SELECT user_id AS course_id, event_type AS url, min(ts) AS first_seen, max(ts) AS last_seen, max(v) AS last_verified, event_type AS status, "
+    "lpad(CAST(arg_min(event_id, (ts, event_id)) AS VARCHAR), 12, '0') AS first_run, lpad(CAST(arg_max(event_id, (ts, event_id)) AS VARCHAR), 12, '0') AS last_run FROM e GROUP BY ALL"
+)
+def url_history(spark, sf):
+    return _history(spark, sf)
+
+
+@query("SELECT user_id AS course_id, count(DISTINCT event_type) AS urls FROM events GROUP BY 1 HAVING count(DISTINCT event_type) > 1")
+def url_drift(spark, sf):
+    return history.drifted(_history(spark, sf), None)
+
+
+@query("WITH l AS (SELECT user_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b FROM events) SELECT user_id, count(*) FILTER (b IS NOT NULL AND b <> event_type) AS changes FROM l GROUP BY 1")
+def drift_changes(spark, sf):
+    return history.changes_in_order(table(spark, sf, "events"), "user_id", "event_type", "ts", "event_id")
+
+
+@query("SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY 1")
+def latest_per_site(spark, sf):
+    e = table(spark, sf, "events").select("user_id", "event_type", "value", F.struct("ts", "event_id").alias("run_id"))
+    return history.latest_per_site(e, "user_id").select("user_id", "event_type", "value")
+
+
+@query("SELECT user_id AS course_id, arg_max(event_type, (ts, event_type)) AS url, max(ts) AS last_seen FROM events GROUP BY 1")
+def latest_url(spark, sf):
+    return history.latest_url(_history(spark, sf))
+
+
+@query("SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 20")
+def recent_runs(spark, sf):
+    return history.recent_runs(table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice"), 20, "o_orderdate", "o_orderkey")
+
+
+# --- names --------------------------------------------------------------------------------
+_SUFFIXES = ["", " BSc (Hons)", " MSc", " with Placement BA (Hons)", " (Top-Up)", " Graduate Diploma", " with integrated year in industry BSc", " PhD Q300 3 years full-time"]
+
+
+def _course_name(key: Column, name: Column) -> Column:
+    return F.concat(name, F.element_at(F.array(*map(F.lit, _SUFFIXES)), (F.pmod(key, F.lit(len(_SUFFIXES))) + 1).cast("int")))
+
+
+_COURSES_SQL = f"courses AS (SELECT p_partkey, p_brand, p_name || ({_SUFFIXES!r})[p_partkey % {len(_SUFFIXES)} + 1] AS name FROM part)"
+_AWARDS_SQL = ", ".join(f"'{t}'" for t in names.CLASS_OF)
+
+
+@query(
+    f"""WITH {_COURSES_SQL}, n AS (
+  SELECT p_partkey, name, lower(regexp_replace(name, '(?i)\\(\\s*hons?\\.?\\s*\\)|\\bhons\\b', ' ', 'g')) AS s FROM courses
+), t AS (
+  SELECT p_partkey, name, list_filter(string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(s, '\\byear\\s+in\\s+industry\\b', 'year industry', 'g'),
+    '\\b\\d+\\s*years?\\b', ' ', 'g'), '\\b(?:full|part)[\\s-]*time\\b', ' ', 'g'), '[^a-z0-9]+', ' ', 'g'), ' '),
+    lambda w: w <> '' AND w NOT IN ('with', 'q300', 'of', 'and', 'in') AND w NOT IN ({_AWARDS_SQL})) AS w FROM n
+)
+SELECT p_partkey, array_to_string(w, ' ') AS core, trim(regexp_replace(regexp_replace(array_to_string(w, ' '), '\\b(integrated year industry|top up|placement)\\b', ' ', 'g'), '\\s+', ' ', 'g')) AS stem,
+  CASE p_partkey % 8 WHEN 1 THEN 'bsc' WHEN 2 THEN 'msc' WHEN 3 THEN 'ba' WHEN 6 THEN 'bsc' WHEN 7 THEN 'phd' ELSE '' END AS awards,
+  CASE p_partkey % 8 WHEN 1 THEN 'bachelor' WHEN 2 THEN 'masters' WHEN 3 THEN 'bachelor' WHEN 5 THEN 'diploma,pgcert' WHEN 6 THEN 'bachelor' WHEN 7 THEN 'doctorate' ELSE '' END AS classes,
+  CASE p_partkey % 8 WHEN 1 THEN 'ug' WHEN 2 THEN 'pg' WHEN 3 THEN 'ug' WHEN 6 THEN 'ug' WHEN 7 THEN 'pg' END AS level
+FROM t"""
+)
+def name_features(spark, sf):
+    n = _course_name(F.col("p_partkey"), F.col("p_name"))
+    return table(spark, sf, "part").select(
+        "p_partkey", names.normalize_name(n, True).alias("core"), names.variant_stem(n).alias("stem"), F.array_join(names.award_tokens(n), ",").alias("awards"),
+        F.array_join(names.award_classes(n), ",").alias("classes"), names.level_of(n).alias("level"),
+    )
+
+
+_FLAGGED = ["", "Year 7 ", "IELTS", " (subclass 186)", " (Arts"]
+_FLAGGED_SITES = ["https://a.edu", "www.b.edu", "ftp://c", "", "https://navitas.com"]
+
+
+@query(
+    f"""WITH r AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 1 THEN 'Year 7 ' || p_name WHEN 2 THEN 'IELTS' WHEN 3 THEN p_name || ' (subclass 186)' WHEN 4 THEN p_name || ' (Arts' ELSE p_name END AS n,
+  p_type || CASE WHEN p_partkey % 3 = 0 THEN ' High School' ELSE '' END AS i, ({_FLAGGED_SITES!r})[p_size % 5 + 1] AS w FROM part)
+SELECT p_partkey, array_to_string(list_filter([CASE WHEN i LIKE '%High School%' THEN 'k12_institution' END, CASE WHEN n LIKE 'Year %' THEN 'year_level_not_course' END,
+  CASE WHEN n = 'IELTS' THEN 'bare_credential_name' END, CASE WHEN n LIKE '%(subclass %' THEN 'occupation_code_not_course' END, CASE WHEN n LIKE '%(Arts' THEN 'truncated_name' END,
+  CASE WHEN w LIKE '%navitas%' THEN 'aggregator_website' END, CASE WHEN NOT regexp_matches(w, '^(https?://|www\\.)') THEN 'unusable_website' END], lambda f: f IS NOT NULL), ';') AS flags FROM r"""
+)
+def row_flags(spark, sf):
+    p = table(spark, sf, "part")
+    k = F.pmod("p_partkey", F.lit(5))
+    n = F.when(k == 1, F.concat(F.lit("Year 7 "), "p_name")).when(k == 2, "IELTS").when(k == 3, F.concat("p_name", F.lit(" (subclass 186)"))).when(k == 4, F.concat("p_name", F.lit(" (Arts"))).otherwise(F.col("p_name"))
+    i = F.concat("p_type", F.when(F.pmod("p_partkey", F.lit(3)) == 0, " High School").otherwise(""))
+    w = F.element_at(F.array(*map(F.lit, _FLAGGED_SITES)), F.pmod("p_size", F.lit(5)) + 1)
+    return p.select("p_partkey", F.array_join(ingest.row_flags(n, i, w), ";").alias("flags"))
+
+
+@query(
+    "SELECT p_partkey, p_brand, min(p_partkey) OVER w = p_partkey AS is_rep, count(*) OVER w AS duplicates, min(p_partkey) OVER w AS rep_id FROM part WINDOW w AS (PARTITION BY p_brand, lower(p_name))"
+)
+def work_items(spark, sf):
+    p = table(spark, sf, "part").select("p_partkey", "p_brand", F.col("p_partkey").alias("id"), ingest.work_name(F.concat("p_name", F.lit("  ."))).alias("w"))
+    return ingest.work_items(p, "p_brand", "w", order="p_partkey").select("p_partkey", "p_brand", "is_rep", "duplicates", "rep_id")
+
+
+@query("WITH n AS (SELECT DISTINCT p_name FROM part) SELECT DISTINCT p_name, unnest(string_split(p_name, ' ')) AS token FROM n")
+def token_index(spark, sf):
+    return matching.token_index(table(spark, sf, "part").select("p_name").distinct(), "p_name", "p_name")
+
+
+def _pair_sides(spark, sf) -> tuple[DataFrame, DataFrame]:
+    p = table(spark, sf, "part")
+    rows = p.select(F.col("p_brand").alias("site_key"), F.col("p_name").alias("id"), F.col("p_name").alias("name")).distinct()
+    kind = F.concat_ws(" ", F.lower("p_type"), "p_name")
+    return rows, p.select(F.col("p_brand").alias("site_key"), kind.alias("cand_ord"), kind.alias("cand_name")).distinct()
+
+
+_PAIRS_SQL = """rows_ AS (SELECT DISTINCT p_brand AS site_key, p_name AS name FROM part),
+cands AS (SELECT DISTINCT p_brand AS site_key, lower(p_type) || ' ' || p_name AS cand FROM part),
+pairs AS (SELECT DISTINCT r.site_key, r.name, c.cand FROM rows_ r JOIN cands c ON r.site_key = c.site_key AND len(list_intersect(string_split(r.name, ' '), string_split(c.cand, ' '))) > 0)"""
+_J = "len(list_intersect(string_split(name, ' '), string_split(cand, ' ')))"
+_UNION = "len(list_distinct(list_concat(string_split(name, ' '), string_split(cand, ' '))))"
+
+
+@query(f"WITH {_PAIRS_SQL} SELECT site_key, name, cand FROM pairs")
+def token_block_pairs(spark, sf):
+    rows, cands = _pair_sides(spark, sf)
+    return matching.token_block_pairs(rows, cands).select("site_key", F.col("id").alias("name"), F.col("cand_ord").alias("cand"))
+
+
+def _measured(spark, sf) -> DataFrame:
+    a, b = names.name_tokens(F.col("name")), names.name_tokens(F.col("cand"))
+    return token_block_pairs(spark, sf).withColumns({"jaccard": names.jaccard(a, b), "coverage": names.coverage(a, b)})
+
+
+@query(
+    f"WITH {_PAIRS_SQL} SELECT site_key, name, cand, {_J} / {_UNION} AS jaccard, {_J} / least(len(list_distinct(string_split(name, ' '))), len(list_distinct(string_split(cand, ' ')))) AS coverage FROM pairs"
+)
+def pair_jaccard_coverage(spark, sf):
+    return _measured(spark, sf)
+
+
+@query()
+def pair_score(spark, sf):
+    scored = similarity.score_pairs(token_block_pairs(spark, sf), "name", "cand")
+    return scored.select("site_key", "name", "cand", "seq", "tok", "cov", "extra", "award", "level_factor", "score")
+
+
+_TOP_SQL = f"""WITH {_PAIRS_SQL}, m AS (SELECT site_key, name, cand, {_J} / {_UNION} AS j FROM pairs),
+r AS (SELECT *, row_number() OVER w AS k, lead(j) OVER w AS second FROM m WINDOW w AS (PARTITION BY site_key, name ORDER BY j DESC, cand))"""
+
+
+@query(_TOP_SQL + " SELECT site_key, name, cand, j AS score, j - coalesce(second, 0) AS margin FROM r WHERE k = 1")
+def top2_margin(spark, sf):
+    m = _measured(spark, sf).select(F.concat_ws("|", "site_key", "name").alias("id"), "site_key", "name", "cand", F.col("jaccard").alias("score"))
+    return matching.top_two(m, "id", "score", "cand").select("site_key", "name", "cand", "score", "margin")
+
+
+@query(
+    _TOP_SQL + " SELECT site_key, name, CASE WHEN j >= 0.8 AND j - coalesce(second, 0) >= 0.1 THEN 'confident' WHEN j - coalesce(second, 0) < 0.1 THEN 'ambiguous' ELSE 'probable' END AS status FROM r WHERE k = 1"
+)
+def match_status(spark, sf):
+    return top2_margin(spark, sf).select("site_key", "name", matching.match_status(F.col("score"), F.col("margin")).alias("status"))
+
+
+def _assignable(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Parts as course rows of their brand, part names as its candidates."""
+    p = table(spark, sf, "part")
+    site = F.concat(F.lower(F.regexp_replace("p_brand", "#", "")), F.lit(".com"))
+    rows = p.select(site.alias("site_key"), F.col("p_partkey").cast("string").alias("id"), _course_name(F.col("p_partkey"), F.col("p_name")).alias("name"), F.lit("").alias("institution_name"))
+    cands = p.groupBy(site.alias("site_key"), F.col("p_name").alias("cand_name")).agg(F.min("p_partkey").cast("int").alias("cand_ord"))
+    place = F.when(F.pmod("cand_ord", F.lit(9)) == 0, "/subjects/").otherwise("/courses/")
+    host = F.when(F.pmod("cand_ord", F.lit(11)) == 0, F.lit("elsewhere.org")).otherwise(F.col("site_key"))
+    url = F.concat(F.lit("https://www."), host, place, F.replace(F.col("cand_name"), F.lit(" "), F.lit("-")))
+    source = F.when(F.pmod("cand_ord", F.lit(5)) == 0, "prior").otherwise("listing")
+    cands = cands.select("site_key", "cand_ord", "cand_name", url.alias("url"), F.lit(None).cast("string").alias("level"), source.alias("source"))
+    return rows, cands, rows.select("site_key", F.col("site_key").alias("domain")).distinct()
+
+
+@query()
+def assignment(spark, sf):
+    rows, cands, domains = _assignable(spark, sf)
+    out = matching.assign(rows, cands, domains)
+    return out.withColumn("flags", F.array_join("flags", ";"))
+
+
+@query()
+def assignment_violations(spark, sf):
+    """Urls whose holders break the sharing rule: none."""
+    rows, cands, domains = _assignable(spark, sf)
+    return matching.share_violations(matching.assign(rows, cands, domains), rows)
+
+
+@query("SELECT p_brand, p_name AS url, count(*) AS holders FROM part GROUP BY ALL HAVING count(*) > 1")
+def share_groups(spark, sf):
+    return reports.share_groups(table(spark, sf, "part").withColumnRenamed("p_name", "url"), "p_brand")
+
+
+@query(f"WITH l AS (SELECT page_id, {_clean('url')} AS url, {_site('url')} AS host, page_id % 4 = 0 AS foreign_ FROM pages) SELECT page_id, CASE WHEN foreign_ THEN '' ELSE url END AS url, CASE WHEN foreign_ THEN 'no_match' ELSE 'confident' END AS status, CASE WHEN foreign_ THEN 'offsite_url_dropped=' || host ELSE '' END AS flags FROM l")
+def offsite_drop(spark, sf):
+    """Every fourth page's site is allowed other domains only."""
+    base = table(spark, sf, "pages").select("page_id", urls.clean_url(F.col("url")).alias("url"), urls.registrable(urls.netloc_of(F.col("url"))).alias("d"))
+    own = F.concat(F.when(F.pmod("page_id", F.lit(4)) == 0, "x.").otherwise(""), "d")
+    base = base.withColumn("site_key", own)
+    domains = base.select("site_key", F.when(F.col("site_key").startswith("x."), F.lit("other.org")).otherwise(F.col("d")).alias("domain")).distinct()
+    rows = base.withColumns({"score": F.lit(1.0), "status": F.lit("confident"), "flags": F.array().cast("array<string>")})
+    return matching.drop_offsite(rows, domains).select("page_id", "url", "status", F.array_join("flags", ";").alias("flags"))
+
+
+@query(
+    f"WITH w AS (SELECT page_id, {_clean('url')} AS url FROM pages), seen AS (SELECT DISTINCT url FROM w WHERE page_id % 3 <> 0) "
+    "SELECT w.page_id, w.url, seen.url IS NOT NULL AS alive FROM w LEFT JOIN seen ON w.url = seen.url"
+)
+def verify_pages(spark, sf):
+    """Wanted urls against the two thirds of pages that were fetched."""
+    wanted = table(spark, sf, "pages").select("page_id", urls.clean_url(F.col("url")).alias("url"))
+    seen = wanted.where("page_id % 3 <> 0").select("url").distinct().withColumn("alive", F.lit(True))
+    return wanted.join(seen, "url", "left").select("page_id", "url", F.coalesce("alive", F.lit(False)).alias("alive"))
+
+
+@query(
+    f"WITH s AS (SELECT page_id, {_site('url')} AS site FROM pages), r AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY page_id) AS k, min(page_id) OVER (PARTITION BY site) AS f FROM s) "
+    "SELECT page_id, site, CAST(row_number() OVER (ORDER BY k, f) AS INTEGER) AS turn FROM r"
+)
+def round_robin(spark, sf):
+    return verify.interleave(_sites(spark, sf).select("page_id", "site"), "site", "page_id")
+
+
+def _moved(spark, sf) -> DataFrame:
+    k, u = F.pmod("page_id", F.lit(6)), F.col("url")
+    final = (
+        F.when(k == 0, F.regexp_replace(u, "^https?://", "https://www.")).when(k == 1, F.concat(F.regexp_replace(u, "[?#].*$", ""), F.lit("/"))).when(k == 2, "")
+        .when(k == 3, F.concat(F.regexp_replace(u, "[?#].*$", ""), F.lit("/moved"))).otherwise(u)
+    )
+    return table(spark, sf, "pages").select("page_id", F.when(k == 4, "").otherwise(u).alias("prior"), final.alias("final"))
+
+
+@query(
+    f"""WITH m AS (SELECT page_id, url, CASE WHEN page_id % 6 = 4 THEN '' ELSE url END AS prior, {_site('url')} AS site FROM pages)
+SELECT page_id, CASE WHEN page_id % 6 = 2 THEN 'dropped' WHEN page_id % 6 = 4 THEN 'added' WHEN page_id % 6 = 3 THEN 'changed'
+  WHEN page_id % 6 = 0 AND regexp_matches(url, '^https?://www\\.') THEN 'changed'
+  WHEN page_id % 6 = 1 AND regexp_matches(url, '\\?') AND {_clean('url')} LIKE '%?%' THEN 'changed' ELSE 'unchanged' END AS url_change FROM m"""
+)
+def url_change(spark, sf):
+    """Urls against themselves with another scheme, host prefix, slash, query or path."""
+    return _moved(spark, sf).select("page_id", urls.classify_change(F.col("prior"), F.col("final")).alias("url_change"))
+
+
+def _decisions(spark, sf) -> DataFrame:
+    o = table(spark, sf, "orders")
+    k = F.pmod("o_orderkey", F.lit(4))
+    status = F.when(F.col("o_orderstatus") == "P", "url_dead").when(F.col("o_orderstatus") == "F", "ambiguous").otherwise("verified")
+    prior_status = F.when(F.col("o_orderpriority") == "1-URGENT", "matched").otherwise("low_confidence")
+    return o.select(
+        "o_orderkey", F.when(k == 0, "").otherwise(F.concat(F.lit("https://a.edu/courses/"), "o_orderkey")).alias("ours"), F.when(k == 1, "").otherwise(F.concat(F.lit("https://a.edu/x/"), F.pmod("o_custkey", F.lit(7)))).alias("prior"),
+        status.alias("status"), prior_status.alias("prior_status"), (F.pmod("o_custkey", F.lit(100)) / 100).alias("gp"), (F.pmod("o_orderkey", F.lit(100)) / 100).alias("go"),
+    )
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 1 THEN 'keep' WHEN o_custkey % 100 >= 55 AND o_orderkey % 4 = 0 THEN 'blank' WHEN o_custkey % 100 >= 55 AND o_orderstatus = 'P' THEN 'dead'
+  WHEN o_custkey % 100 >= 55 AND o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' AND o_custkey % 100 > o_orderkey % 100 THEN 'weak'
+  WHEN o_custkey % 100 < 55 AND (o_orderkey % 4 = 0 OR o_orderstatus = 'P') THEN 'rejected_by_gate' ELSE 'keep' END AS decision FROM orders"""
+)
+def triage_decision(spark, sf):
+    d = _decisions(spark, sf)
+    c = F.col
+    return d.select("o_orderkey", triage.decide(c("ours"), c("prior"), c("status"), c("prior_status"), c("gp"), c("go")).alias("decision"))
+
+
+@query()
+def triage_fold(spark, sf):
+    """Parts whose own url is blank, dead or weak, against urls of the same name from a sheet."""
+    p = table(spark, sf, "part")
+    name = _course_name(F.col("p_partkey"), F.col("p_name"))
+    slug = F.replace(F.col("p_name"), F.lit(" "), F.lit("-"))
+    k = F.pmod("p_partkey", F.lit(4))
+    site = F.concat(F.lit("https://www."), F.lower(F.regexp_replace("p_brand", "#", "")), F.lit(".edu"))
+    results = p.select(
+        F.col("p_partkey").alias("ord"), F.col("p_partkey").cast("string").alias("id"), name.alias("name"), F.lit("").alias("institution_name"), site.alias("website"),
+        F.when(k == 0, "").otherwise(F.concat(site, F.lit("/courses/"), F.col("p_partkey").cast("string"))).alias("course_url"),
+        F.when(k == 0, "no_match").when(k == 1, "url_dead").when(k == 2, "ambiguous").otherwise("verified").alias("matched_status"), F.lit("0.6000").alias("matched_score"),
+        F.lit("0.0500").alias("match_margin"), F.lit("").alias("match_evidence"), F.lit("").alias("row_flags"),
+    )
+    source = p.select(F.col("p_partkey").cast("string").alias("id"), F.concat(site, F.lit("/study/"), slug).alias("course_url"), F.lit("matched").alias("matched_status"))
+    return triage.triage(results, source).select("id", "course_url", "matched_status", "matched_score", "row_flags", "triage", "url_change")
+
+
+# --- reports ------------------------------------------------------------------------------
+@query(
+    "WITH k(pos, status) AS (VALUES (0, 'F'), (1, 'O'), (2, 'P'), (3, 'X')), c AS (SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 1), t AS (SELECT count(*) AS total FROM orders) "
+    "SELECT pos, status, coalesce(n, 0) AS rows, coalesce(n, 0) * 100.0::DOUBLE / greatest(total, 1) AS share FROM k LEFT JOIN c USING (status), t"
+)
+def status_distribution(spark, sf):
+    return reports.status_distribution(table(spark, sf, "orders"), "o_orderstatus", ("F", "O", "P", "X"))
+
+
+@query("WITH f AS (SELECT unnest(list_filter([CASE WHEN o_totalprice > 250000 THEN 'large' END, CASE WHEN o_orderpriority = '1-URGENT' THEN 'urgent' END, o_orderstatus], lambda x: x IS NOT NULL)) AS flag FROM orders) SELECT flag, count(*) AS rows FROM f GROUP BY 1")
+def flag_histogram(spark, sf):
+    raised = F.array(F.when(F.col("o_totalprice") > 250000, "large"), F.when(F.col("o_orderpriority") == "1-URGENT", "urgent"), F.col("o_orderstatus"))
+    return reports.flag_histogram(table(spark, sf, "orders").select(F.filter(raised, lambda x: x.isNotNull()).alias("flags")))
+
+
+@query(
+    """WITH c AS (SELECT c_nationkey AS site_key, count(*) AS rows, count(*) FILTER (c_custkey % 10 < c_nationkey % 10) AS filled FROM customer GROUP BY 1)
+SELECT site_key, rows, filled, CASE WHEN site_key % 12 = 5 THEN 'blocked' WHEN site_key % 5 = 0 THEN 'no catalog' WHEN filled * 100 < rows * 20 THEN 'mistargeted' WHEN filled * 100 < rows * 50 THEN 'partial' ELSE 'ok' END AS diagnosis FROM c"""
+)
+def institution_health(spark, sf):
+    c = table(spark, sf, "customer")
+    held = F.when(F.pmod("c_custkey", F.lit(10)) < F.pmod("c_nationkey", F.lit(10)), F.lit("u")).otherwise("")
+    results = c.select(F.col("c_nationkey").alias("site_key"), F.col("c_nationkey").alias("institution_name"), held.alias("url"))
+    catalogs = table(spark, sf, "nation").select(
+        F.col("n_nationkey").alias("site_key"), (F.pmod("n_nationkey", F.lit(5)) != 0).alias("healthy"), F.when(F.pmod("n_nationkey", F.lit(12)) == 5, "blocked").otherwise("").alias("failure_reason")
+    )
+    return reports.institution_health(results, catalogs).select("site_key", "rows", "filled", "diagnosis")
+
+
+@query("SELECT o_orderkey AS id, CAST(row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS INTEGER) AS rank FROM orders WHERE o_orderstatus IN ('F', 'P')")
+def review_queue(spark, sf):
+    status = F.when(F.col("o_orderstatus") == "F", "probable").when(F.col("o_orderstatus") == "P", "ambiguous").otherwise("confident")
+    rows = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), status.alias("status"), F.col("o_totalprice").alias("margin"), F.lit(0.0).alias("score"))
+    return reports.review_queue(rows).select("id", "rank")
+
+
+@query(
+    """WITH s AS (SELECT p_partkey AS id, (p_size * 2) / 100.0 AS score FROM part), b AS (SELECT *, CASE WHEN score >= 0.95 THEN '0.95-1.00' WHEN score >= 0.85 THEN '0.85-0.95' WHEN score >= 0.75 THEN '0.75-0.85'
+  WHEN score >= 0.65 THEN '0.65-0.75' WHEN score >= 0.55 THEN '0.55-0.65' WHEN score > 0 THEN 'below-floor' END AS score_band FROM s),
+r AS (SELECT *, row_number() OVER (PARTITION BY score_band ORDER BY md5(CAST(id AS VARCHAR) || ':20260828'), id) AS n, (SELECT count(DISTINCT score_band) FROM b) AS k FROM b WHERE score_band IS NOT NULL)
+SELECT id, score_band FROM r WHERE n <= greatest(1, 150 // k)"""
+)
+def calibration_sample(spark, sf):
+    scored = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), (F.col("p_size") * 2 / 100.0).alias("score"))
+    return reports.calibration_sample(scored).select("id", "score_band")
+
+
+@query("SELECT s_suppkey AS seed, count(l_orderkey) AS n FROM supplier LEFT JOIN lineitem ON s_suppkey = l_suppkey AND l_quantity >= 50 AND l_discount < 0.01 GROUP BY 1")
+def dead_seeds(spark, sf):
+    """Yield of every seed; those with 0 are dead."""
+    found = table(spark, sf, "lineitem").where("l_quantity >= 50 and l_discount < 0.01").select(F.lit(0).alias("site_key"), F.col("l_suppkey").alias("seed"), F.lit("candidate").alias("kind"))
+    return catalog.seed_yield(found, table(spark, sf, "supplier").select(F.lit(0).alias("site_key"), F.col("s_suppkey").alias("seed"))).select("seed", "n")
+
+
+@query("SELECT count(*) AS rows, (SELECT count(*) FROM orders) - 7 AS wanted, (SELECT count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1)) AS duplicate_ids, count(*) = (SELECT count(*) FROM orders) - 7 AS complete FROM lineitem")
+def manifest_check(spark, sf):
+    n = table(spark, sf, "orders").count()
+    return packing.check_merge(table(spark, sf, "lineitem"), n, 7, "l_orderkey")
+
+
+@query("SELECT DISTINCT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL)")
+def missing_chunks(spark, sf):
+    return packing.missing_keys(table(spark, sf, "orders"), table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey")
+
+
+@query()
+def site_packing(spark, sf):
+    sites = site_buckets(spark, sf).select("site", F.col("pages").alias("rows"))
+    sites = sites.withColumn("ord", F.row_number().over(Window.orderBy(F.desc("rows"), "site")))
+    return packing.pack_sites(sites, 8)
+
+
+@query(
+    """SELECT d.doc_id, (l.quality IS NULL OR l.quality <> 1) AND NOT d.lang = 'de' AS searchable, '"Doc ' || d.doc_id || '" ' || d.source || ' site:a.edu' AS query FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+)
+def search_targets(spark, sf):
+    joined = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    url = F.when(F.col("quality") == 1, "https://a.edu/x").otherwise("")
+    flags = F.when(F.col("lang") == "de", "hub;year_level_not_course").otherwise("truncated_name")
+    return joined.select("doc_id", search.is_searchable(url, flags).alias("searchable"), search.build_query(F.concat(F.lit(" Doc  "), "doc_id"), F.col("source"), F.lit("a.edu")).alias("query"))
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders")
+def union_chunks(spark, sf):
+    from lodestone.sources.tables import union_chunks as unite
+
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return unite([o.where("o_orderstatus = 'F'"), o.where("o_orderstatus = 'O'"), o.where("o_orderstatus not in ('F', 'O')")])
