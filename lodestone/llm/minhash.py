@@ -283,7 +283,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     pairs = materialise(stars.union(apart), "pairs")
     involved = pairs.select(F.col("centre").alias("doc_id")).union(pairs.select(F.col("member").alias("doc_id"))).distinct()
-    texts = materialise(own.join(involved, "doc_id"), "texts")
+    # A merge join at every size: what is broadcast here would grow with the links.
+    texts = materialise(own.join(involved.hint("merge"), "doc_id"), "texts")
 
     links = materialise(_confirmed(pairs, texts, shingle_words, percent), "links")
     first = materialise(components(links), "components")
