@@ -62,11 +62,14 @@ def award_factor(tokens_a: Column, classes_a: Column, tokens_b: Column, classes_
 def described(df: DataFrame, name: str, prefix: str, institution: str | None = None) -> DataFrame:
     """``df`` with what the score needs of a name, each computed once a row:
     ``{prefix}core, _full`` (tokens without and with awards), ``_awards, _classes, _level``."""
-    clean = F.col(name)
+    source = name
     if institution:
-        stripped = names.strip_institution(clean, F.col(institution))
-        clean = F.when(stripped == "", clean).otherwise(stripped)
-    return df.withColumns(
+        # A column of its own: what follows refers to it several times, so it is computed once.
+        source = f"{prefix}clean"
+        df = df.withColumn(source, names.strip_institution(F.col(name), F.col(institution)))
+        df = df.withColumn(source, F.when(F.col(source) == "", F.col(name)).otherwise(F.col(source)))
+    clean = F.col(source)
+    out = df.withColumns(
         {
             f"{prefix}core": names.name_tokens(clean, True),
             f"{prefix}full": names.name_tokens(clean),
@@ -75,6 +78,7 @@ def described(df: DataFrame, name: str, prefix: str, institution: str | None = N
             f"{prefix}level": names.level_of(F.col(name)),
         }
     )
+    return out.drop(source) if institution else out
 
 
 def score_components(pairs: DataFrame, level: str | None = None, specificity: str | None = None) -> DataFrame:
