@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lodestone.functions.names import let, name_tokens, squeeze, text_of
+from lodestone.functions.names import let, name_tokens, one_of, squeeze, text_of
 
 ANCHOR = r"""(?is)<a\b[^>]*?href\s*=\s*["']([^"']+)["'][^>]*>(.*?)</a>"""
 # Anchor texts that are navigation.
@@ -86,10 +88,8 @@ def looks_like_course_name(text: Column) -> Column:
     """Anchor text that is plausibly a name rather than navigation."""
 
     def judge(low: Column) -> Column:
-        furniture = F.lit(False)
-        for part in NAV_SUBSTRINGS:
-            furniture = furniture | F.contains(low, F.lit(part))
-        ruled_out = low.isin(*NAV_STOPLIST) | (F.length(low) < 3) | (F.length(low) > 160) | furniture | low.rlike(r"^[^\p{L}_]+$")
+        furniture = low.rlike("|".join(re.escape(part) for part in NAV_SUBSTRINGS))
+        ruled_out = low.rlike(one_of(NAV_STOPLIST)) | (F.length(low) < 3) | (F.length(low) > 160) | furniture | low.rlike(r"^[^\p{L}_]+$")
         words = F.size(F.filter(F.split(low, r"(?U)\s+"), lambda w: w != ""))
         single = low.rlike("^[a-z]{2,12}$") & (F.size(name_tokens(text)) > 0)
         return ~ruled_out & ((words >= 2) | single)

@@ -75,9 +75,10 @@ def described(df: DataFrame, name: str, prefix: str, institution: str | None = N
             f"{prefix}full": names.name_tokens(clean),
             f"{prefix}awards": names.award_tokens(clean),
             f"{prefix}classes": names.award_classes(clean),
-            f"{prefix}level": names.level_of(F.col(name)),
         }
     )
+    # The level is the row's own, so no institution is stripped there.
+    out = out.withColumn(f"{prefix}level", names.level_of(F.col(name)) if institution else names.level_of_classes(F.col(f"{prefix}classes")))
     return out.drop(source) if institution else out
 
 
