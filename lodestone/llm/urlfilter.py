@@ -22,7 +22,7 @@ RULES = (
 )
 #: Words that mark a host as unwanted in the training of the classifier.
 SEEDS = frozenset("adult ads bets betting casino escort gambling pills poker porn spam track tracker viagra warez xxx".split())
-#: The word model keeps at most so many words, the most frequent first; every text is counted.
+#: The word model keeps at most so many words, the most frequent ones, whole counts at a time; every text is counted.
 MAX_WORDS = 50_000
 #: Token counts of the classifier are kept in so many hashed places, whatever the input.
 PLACES = 1 << 16
@@ -118,7 +118,15 @@ def fit(urls: DataFrame, texts: DataFrame):
     spark = urls.sparkSession
     pieces = F.split(F.concat_ws(" ", F.when(F.col("host").contains("-"), F.col("host")), F.col("path")), r"[^\p{L}]+")
     said = urls.select(F.explode(pieces).alias("w")).union(texts.select(F.explode(F.split(F.lower("title"), r"[^\p{L}]+")).alias("w")))
-    counts = said.where(F.length("w").between(1, LONGEST)).groupBy("w").count().orderBy(F.desc("count"), "w").limit(MAX_WORDS).collect()
+    counted = said.where(F.length("w").between(1, LONGEST)).groupBy("w").count()
+    # The least count that keeps no more than MAX_WORDS words, from the counts of counts: no task sends the driver more than what is kept.
+    least, room = 1, MAX_WORDS
+    for r in counted.groupBy("count").agg(F.count("*").alias("words")).orderBy(F.desc("count")).collect():
+        room -= r["words"]
+        if room < 0:
+            least = r["count"] + 1
+            break
+    counts = counted.where(F.col("count") >= least).collect()
     segmenter = spark.sparkContext.broadcast(Segmenter({r["w"]: r["count"] for r in counts}))
     held, docs = np.zeros((2, PLACES)), np.zeros(2)
     for r in urls.select("host", "path").mapInArrow(_count(segmenter), "label int, place int, n long").groupBy("label", "place").agg(F.sum("n").alias("n")).collect():
