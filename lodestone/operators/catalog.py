@@ -104,7 +104,7 @@ def find_seeds(sites: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame
     ``pages``: url, status, final_url, text. Sign-in pages and soft 404s are no
     seeds; a soft 404 counts as the 404 it is.
     """
-    probed = hub_probes(sites).join(pages, "url", "left")
+    probed = hub_probes(sites).join(pages.select("url", "status", "final_url", "text").dropDuplicates(["url"]), "url", "left")
     ok = (F.col("status") == 200) & (F.coalesce(F.length("text"), F.lit(0)) > 0)
     final = urls.clean_url(F.col("final_url"))
     soft = ok & html.looks_like_soft_404(F.col("text"))
@@ -303,7 +303,9 @@ def build_catalogs(sites: DataFrame, pages: DataFrame, priors: DataFrame) -> tup
     )
     domains = domains.where("domain <> ''").distinct()
     budgets = sites.select("site_key", page_budget(F.col("expected_rows")).alias("budget"))
-    crawled = crawl(seeds, pages, domains, budgets)
+    # Read by several stages below; each is computed once and its plan ends there.
+    seeds, domains = seeds.persist(), domains.persist()
+    crawled = crawl(seeds, pages, domains, budgets).persist()
     level = F.coalesce(urls.level_from_url(F.col("url")), names.level_of(F.col("name")))
     listing = crawled.where("kind = 'candidate'").select("site_key", F.col("ord").cast("long").alias("ord"), "name", "url", level.alias("level"), F.lit("listing").alias("source"))
     prior = harvest_prior(priors, pages, domains)
@@ -312,12 +314,12 @@ def build_catalogs(sites: DataFrame, pages: DataFrame, priors: DataFrame) -> tup
     def absorb(df: DataFrame) -> DataFrame:
         return drop_institution_names(df.join(sites.select("site_key", "institution"), "site_key"), "site_key").select(*CANDIDATE, "stem", "institution")
 
-    have = absorb(listing.unionByName(shift(prior, 1_000_000)))
+    have = absorb(listing.unionByName(shift(prior, 1_000_000))).persist()
     expected = sites.select("site_key", "expected_rows")
     for source, by, harvest in (("sitemap", 2_000_000, lambda s: harvest_sitemaps(s, pages, domains)), ("json", 3_000_000, lambda s: harvest_json(seeds.join(s, "site_key", "left_semi"), pages, domains))):
         weak = extraction_health(have, expected).where(~F.col("healthy")).select("site_key")
         extra = shift(harvest(sites.join(weak, "site_key", "left_semi")), by)
-        have = absorb(have.select(*CANDIDATE).unionByName(extra))
+        have = absorb(have.select(*CANDIDATE).unionByName(extra)).persist()
     health = extraction_health(have, expected)
     by_source = have.groupBy("site_key").agg(*[F.count_if(F.col("source") == s).alias(f"n_{s}") for s in SOURCE_RANK])
     own = crawled.where("kind = 'page'").join(pages.select("site_key", urls.clean_url(F.col("url")).alias("url"), "status"), ["site_key", "url"], "left")
@@ -343,4 +345,4 @@ def build_catalogs(sites: DataFrame, pages: DataFrame, priors: DataFrame) -> tup
         "site_key", "institution", "candidates", "healthy", named.alias("strategy"), reason.alias("failure_reason"),
         F.coalesce("pages_fetched", F.lit(0)).alias("pages_fetched"), F.lit(SCHEMA_VERSION).alias("schema_version"),
     )
-    return have.drop("institution"), catalogs
+    return have.drop("institution"), catalogs.persist()
