@@ -5,6 +5,7 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,13 +49,31 @@ def numbered(hashes: list[int]) -> list[tuple[int, int]]:
     return keys
 
 
+def minimal_runs(words: np.ndarray, least: int, begin=0, end=None) -> tuple[np.ndarray, np.ndarray]:
+    """All shortest runs of lines that reach ``least`` words, from each line forwards and from each backwards, as (starts, stops).
+
+    Every run of at least ``least`` words is covered by the minimal runs inside it.
+    ``begin`` and ``end`` are the bounds of each line's document, if there are several.
+    """
+    after = np.cumsum(words)
+    before = after - words
+    end = len(words) if end is None else end
+    places = np.arange(len(words))
+    stops = np.searchsorted(after, before + least) + 1
+    starts = np.searchsorted(before, after - least, "right") - 1
+    forward, backward = stops <= end, starts >= begin
+    return np.concatenate([places[forward], starts[backward]]), np.concatenate([stops[forward], places[backward] + 1])
+
+
 def aligned_blocks(later: list[int], earlier: list[int], words: list[int], least: int) -> list[int]:
     """Places in ``later`` of lines in common blocks of at least ``least`` words.
 
     Patience alignment: lines unique in both documents (the n-th equal line
     counts as a line of its own) are chained in rising order, the heaviest chain
     by words; runs of it that are contiguous in both are the blocks. What a chain
-    leaves over because it stands in another order is aligned again.
+    leaves over because it stands in another order is aligned again. Lines that
+    stand in both and are in no block yet are then tried in all their occurrences:
+    a minimal run of ``later`` that stands anywhere in ``earlier`` is a block too.
     """
     where = {key: j for j, key in enumerate(numbered(earlier))}
     points = [(i, where[key], words[i]) for i, key in enumerate(numbered(later)) if key in where]
@@ -71,7 +90,25 @@ def aligned_blocks(later: list[int], earlier: list[int], words: list[int], least
         gone += found
         done = {i for i, _ in chain}
         points = [p for p in points if p[0] not in done]
-    return sorted(gone)
+    return sorted({*gone, *_blocks_elsewhere(later, earlier, words, least, set(gone))})
+
+
+def _blocks_elsewhere(later: list[int], earlier: list[int], words: list[int], least: int, gone: set[int]) -> set[int]:
+    """Places of the minimal runs of ``later``, not wholly in ``gone``, that stand at any place of ``earlier``."""
+    common = set(earlier)
+    left = np.array([i not in gone and h in common for i, h in enumerate(later)])
+    if not left.any():
+        return set()
+    spans = zip(*(x.tolist() for x in minimal_runs(np.array(words), least)), strict=True)
+    open_before = np.concatenate([[0], np.cumsum(left)]).tolist()
+    tried = [(a, b) for a, b in spans if open_before[b] > open_before[a] and common.issuperset(later[a:b])]
+    if not tried:
+        return set()
+    # A line that only the earlier document holds ends every run.
+    weight = dict(zip(later, words, strict=True))
+    theirs = minimal_runs(np.array([weight.get(h, least) for h in earlier]), least)
+    held = {tuple(earlier[a:b]) for a, b in zip(*(x.tolist() for x in theirs), strict=True)}
+    return {i for a, b in tried if tuple(later[a:b]) in held for i in range(a, b)}
 
 
 def _align(least: int):

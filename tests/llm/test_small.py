@@ -132,6 +132,19 @@ def test_lines(spark):
     assert got[1]["shard"] == "x" and got[2]["n_deleted"] == 1
 
 
+def test_lines_in_all_their_occurrences():
+    # Line 1 stands before the passage in the earlier document, and the later one holds the passage twice.
+    assert linededup.aligned_blocks([1, 2], [1, 9, 1, 2], [11, 10], 20) == [0, 1]
+    assert linededup.aligned_blocks([1, 2, 7, 1, 2], [1, 2], [11, 10, 5, 11, 10], 20) == [0, 1, 3, 4]
+    rng = random.Random(8)
+    for _ in range(400):
+        later, earlier = ([rng.randrange(5) for _ in range(rng.randint(1, 12))] for _ in range(2))
+        words = [3 + h for h in later]
+        blocks = [range(a, b) for a in range(len(later)) for b in range(a + 1, len(later) + 1) if sum(words[a:b]) >= 12]
+        inside = [r for r in blocks if any(earlier[k : k + len(r)] == later[r.start : r.stop] for k in range(len(earlier)))]
+        assert linededup.aligned_blocks(later, earlier, words, 12) == sorted({i for r in inside for i in r})
+
+
 # --- 4 -------------------------------------------------------------------------------------
 def test_chunked_bpe_is_the_librarys(monkeypatch):
     library = Tokenizer.from_file(BYTE)
