@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.common import materialise
 from lodestone.llm.quality import SPACE_CHARS, let
+from lodestone.llm.shingles import mix
 
-#: A line that so many documents hold at most is rare: all its holders are paired with each other.
-#: A more frequent line pairs its holders with the earliest of them, which is linear.
+#: Only the brute force in the pipeline's test reads this; pairing has no bound on holders.
 RARE = 8
 #: Later documents that are aligned with an earlier one in one go.
 BLOCK = 256
@@ -111,6 +111,43 @@ def _blocks_elsewhere(later: list[int], earlier: list[int], words: list[int], le
     return {i for a, b in tried if tuple(later[a:b]) in held for i in range(a, b)}
 
 
+#: Odd, so that its powers have inverses modulo 2 ** 64.
+_FACTOR = 0x9E3779B97F4A7C15
+_INVERSE = pow(_FACTOR, -1, 1 << 64)
+
+
+def run_hashes(h: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A hash of the lines of each run, from differences of one polynomial prefix sum."""
+    powers, inverses = (np.full(len(h) + 1, f, np.uint64) for f in (_FACTOR, _INVERSE))
+    powers[0] = inverses[0] = 1
+    powers, inverses = np.cumprod(powers), np.cumprod(inverses)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h.view(np.uint64)) * powers[:-1])])
+    return mix((sums[stops] - sums[starts]) * inverses[starts] + (stops - starts).astype(np.uint64)).view(np.int64)
+
+
+def _hash_runs(least: int):
+    """Yields the hashes of each document's minimal runs, once a document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                sizes = np.array([len(x) for x in part.column("h")], np.int64)
+                h, w = (part.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("h", "w"))
+                last = np.cumsum(sizes)
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                starts, stops = minimal_runs(w.astype(np.int64), least, (last - sizes)[row], last[row])
+                row, runs = row[starts], run_hashes(h.astype(np.int64), starts, stops)
+                order = np.lexsort((runs, row))
+                row, runs = row[order], runs[order]
+                fresh = np.ones(len(row), bool)
+                fresh[1:] = (row[1:] != row[:-1]) | (runs[1:] != runs[:-1])
+                holder = pa.array(row[fresh])
+                yield pa.RecordBatch.from_arrays([part.column("id").take(holder), part.column("text_hash").take(holder), pa.array(runs[fresh])], names=["id", "text_hash", "run"])
+
+    return run
+
+
 def _align(least: int):
     """Rows come sorted by (earlier document, block), its own lines first; yields places to delete."""
 
@@ -136,12 +173,12 @@ def _align(least: int):
 def remove_shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_block_words: int = 20) -> DataFrame:
     """Delete from each document the passages that an earlier document holds.
 
-    Lines are what ``\\n`` parts; those with a word count. Two documents are
-    compared if they share a rare line (RARE holders at most), or if one is the
-    earliest holder of a line of the other. The pair's lines are aligned
-    (:func:`aligned_blocks`), and common blocks of at least ``min_block_words``
-    words (spaces + 1 a line) are deleted from the later document, the one with
-    the larger id. A block's lines all stand in an earlier document, and the
+    Lines are what ``\\n`` parts; those with a word count. Every minimal run of
+    consecutive lines that reaches ``min_block_words`` words (spaces + 1 a line)
+    pairs each of its holders with its earliest one, whatever their number; every
+    block that any earlier document holds is covered by such runs. The pair's lines
+    are aligned (:func:`aligned_blocks`), and common blocks of at least so many
+    words are deleted from the later document, the one with the larger id. A block's lines all stand in an earlier document, and the
     earliest holder of a line never loses it, so one copy stays.
 
     Returns the columns of ``docs``, with the text cleaned, and ``n_lines``,
@@ -166,13 +203,10 @@ def remove_shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
     )
     sequences = materialise(sequences.select("id", "text_hash", "s.h", "s.w").where("size(h) > 0").dropDuplicates(["id", "text_hash"]), "sequences")
 
-    lines = sequences.select(F.struct("id", "text_hash").alias("r"), F.explode(F.array_distinct("h")).alias("line"))
-    holders = lines.groupBy("line").agg(F.count("*").alias("n"), F.min("r").alias("first")).where("n > 1")
-    shared = lines.join(holders, "line")
-    frequent = shared.where((F.col("n") > RARE) & (F.col("r") != F.col("first"))).select(F.col("r").alias("l"), F.col("first").alias("e"))
-    together = shared.where(F.col("n") <= RARE).groupBy("line").agg(F.array_sort(F.collect_list("r")).alias("all"))
-    rare = together.select(F.explode(F.flatten(F.transform("all", lambda l, i: F.transform(F.slice("all", 1, i), lambda e: F.struct(l.alias("l"), e.alias("e")))))).alias("p")).select("p.l", "p.e")
-    pairs = materialise(frequent.union(rare).distinct(), "pairs")
+    runs = sequences.mapInArrow(_hash_runs(min_block_words), "id long, text_hash long, run long").select(F.struct("id", "text_hash").alias("r"), "run")
+    runs = materialise(runs, "runs")
+    holders = runs.groupBy("run").agg(F.min("r").alias("e"), F.max("r").alias("last")).where("e <> last").select("run", "e")
+    pairs = materialise(runs.join(holders, "run").where("r <> e").select(F.col("r").alias("l"), "e").distinct(), "pairs")
 
     many = pairs.groupBy("e").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
     later = pairs.join(many, "e").select("e", F.pmod(F.xxhash64("l"), F.col("blocks")).cast("int").alias("block"), "l", F.col("l").alias("r"))

@@ -132,6 +132,23 @@ def test_lines(spark):
     assert got[1]["shard"] == "x" and got[2]["n_deleted"] == 1
 
 
+def test_lines_that_many_documents_hold(spark):
+    # Lines held by more than eight documents, whose earliest holders are other documents than the passage's.
+    one, two = prose(12, 1), prose(12, 2)
+    texts = [one, two] + [f"{one}\n{two}\nown {k}" for k in range(9)]
+    got = {r["doc_id"]: r["text"] for r in linededup.remove_shared_passages(docs(spark, texts)).collect()}
+    assert [got[k] for k in (1, 2, 3)] == texts[:3] and [got[k] for k in range(4, 12)] == [f"own {k}" for k in range(1, 9)]
+    # All pairs of all documents, with no rule for pairing.
+    rng = random.Random(3)
+    lines = [prose(rng.randint(3, 12), k) for k in range(8)]
+    held = [[rng.randrange(8) for _ in range(rng.randint(1, 9))] for _ in range(50)]
+    size = [x.count(" ") + 1 for x in lines]
+    left = {r["doc_id"]: r["text"] for r in linededup.remove_shared_passages(docs(spark, ["\n".join(lines[i] for i in h) for h in held])).collect()}
+    for k, own in enumerate(held):
+        gone = {i for e in held[:k] for i in linededup.aligned_blocks(own, e, [size[x] for x in own], 20)}
+        assert left[k + 1] == "\n".join(lines[x] for i, x in enumerate(own) if i not in gone)
+
+
 def test_lines_in_all_their_occurrences():
     # Line 1 stands before the passage in the earlier document, and the later one holds the passage twice.
     assert linededup.aligned_blocks([1, 2], [1, 9, 1, 2], [11, 10], 20) == [0, 1]
