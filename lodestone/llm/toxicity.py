@@ -127,7 +127,7 @@ def words_of(text: str | None, restorer: Restorer) -> set[str]:
     mixed = {t for t in {t.strip(_EDGES) for t in mixed} if 2 < len(t) < 40 and not t.isalpha()}
     for t in mixed:
         t = t.translate(_GAPS)
-        if _LETTER.search(t) and (_MASKS.search(t) or len(t) > 2) and sum(c.isdigit() for c in t) * 2 <= len(t):
+        if _LETTER.search(t) and (_MASKS.search(t) or len(t) > 2):
             odd.append(t)
     if sum(map(len, tokens)) < 3 * len(tokens) or sum(len(t) == 1 for t in tokens) > 2:
         odd += {m.translate(_GAPS) for m in _SPACED.findall(text)}

@@ -247,6 +247,18 @@ def test_restorer_reads_leetspeak():
     assert {"idiot", "moron"} <= toxicity.words_of("you i d i o t and m.o.r.o.n", r)
 
 
+def english():
+    """A restorer that has read a few sentences."""
+    counts = np.zeros(toxicity.CLASSES**3)
+    toxicity.trigram_counts("you idiot. you are a stupid idiot, such a toxic shit, what an arse. you are the worst idiot of them all, are you not? " * 50, counts)
+    return toxicity.Restorer(counts)
+
+
+def test_leet_words_of_a_text_are_restored():
+    found = toxicity.words_of("you 1d10t, 5h17 and (70x1c) 4r53!", english())
+    assert {"idiot", "shit", "toxic", "arse"} <= found
+
+
 def test_toxicity_holds_out(spark):
     rows = [(k, prose(40, k) + (" you scum loser" if k % 3 == 0 else "")) for k in range(400)]
     table = spark.createDataFrame([*rows, (400, "you 5cum l0ser " + prose(20, 77)), (401, ""), (402, None)], "doc_id long, text string")
