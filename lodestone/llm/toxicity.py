@@ -26,6 +26,8 @@ LEET = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "*": "aeiou",
 }
 _LEET_COST, _REPEAT_COST = 0.5, 0.3
+# A gap as narrow as any that is a space after all, and a wider one that is none.
+_SPACE_COST, _WIDE_COST = 1.5, 2.0
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SPACED = re.compile(r"(?<![\w@$])(?:[\w@$][ .\-_*]{1,2}){2,}[\w@$](?![\w@$])")
@@ -33,7 +35,9 @@ _REPEATED = re.compile(r"([^\W\d_])\1\1")
 _EDGES = ".,;:!?\"'()[]<>#&%~"
 _MASKS = re.compile("[" + re.escape("".join(LEET)) + "]")
 _LETTER = re.compile(r"[^\W\d_]")
-_GAPS = str.maketrans("", "", " .-_")
+_GAP_CHARS = " .-_"
+_GAP = re.compile(r"[ .\-_]+")
+_GAPS = str.maketrans("", "", _GAP_CHARS)
 
 
 def _class_table() -> np.ndarray:
@@ -78,29 +82,48 @@ class Restorer:
     def __init__(self, counts: np.ndarray):
         self.counts = counts
         cube = counts.reshape(CLASSES, CLASSES, CLASSES) + 0.01
-        self.cost = -np.log(cube / cube.sum(axis=2, keepdims=True))
-        self.restore = lru_cache(200_000)(self._restore)
+        self.cost = (-np.log(cube / cube.sum(axis=2, keepdims=True))).tolist()
+        self._short = lru_cache(200_000)(self._restore)
 
     def __reduce__(self):
         return Restorer, (self.counts,)
 
     @staticmethod
     def lattice(token: str) -> list[list[tuple[str, float]]]:
-        """For each run of an equal character what it may stand for, with the channel's cost."""
+        """For each gap and each run of an equal character what it may stand for, with the channel's cost.
+
+        A gap may be nothing or a space between words; one wider than the narrowest is rather a space.
+        """
         steps = []
-        for m in re.finditer(r"(.)\1*", token, re.S):
+        narrow = min(map(len, _GAP.findall(token)), default=0)
+        for m in re.finditer(r"[ .\-_]+|(.)\1*", token, re.S):
             c, n = m[1], m.end() - m.start()
+            if c is None:
+                wide = n > narrow
+                steps.append([("", _WIDE_COST * wide), (" ", _SPACE_COST * (not wide))])
+                continue
             plain = [(c, 0.0)] if c.isalpha() else [(x, _LEET_COST) for x in LEET.get(c, "")]
             options = [(x, cost + _REPEAT_COST * (n > 2)) for x, cost in plain]
             if n > 1:
                 options += [(x * 2, 2 * cost + _REPEAT_COST * (n > 2)) for x, cost in plain]
-            steps.append(options or [("", 1.0)])
+            steps.append(options or [("", 1.0), (" ", 1.0)])
         return steps
 
+    def restore(self, token: str) -> str:
+        """The likeliest words, parted by spaces, of a token of any length; short ones are cached."""
+        return (self._short if len(token) <= 64 else self._restore)(token)
+
     def _restore(self, token: str) -> str:
-        best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        for options in self.lattice(token.lower()[:64]):
-            after: dict[tuple[int, int], tuple[float, str]] = {}
+        decided: list[str] = []
+        # A path is its cost and what it says, as a chain (chain before, letters).
+        best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+        for options in self.lattice(token.lower().strip(_GAP_CHARS)):
+            if len(best) == 1:
+                # All paths agree so far: only what is undecided is held.
+                state, (total, said) = next(iter(best.items()))
+                decided.append(_unwind(said))
+                best = {state: (total, None)}
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (cost, said) in best.items():
                 for letters, extra in options:
                     x, y, total = a, b, cost + extra
@@ -108,12 +131,21 @@ class Restorer:
                         code = ord(c)
                         z = int(_TABLE[code]) if code < len(_TABLE) else 62
                         # An edge has no second edge before it, so a word starts after one edge.
-                        total += self.cost[x, y, z]
+                        total += self.cost[x][y][z]
                         x, y = y, z
                     if (x, y) not in after or total < after[x, y][0]:
-                        after[x, y] = total, said + letters
+                        after[x, y] = total, (said, letters) if letters else said
             best = after
-        return min((cost + self.cost[a, b, 0], said) for (a, b), (cost, said) in best.items())[1]
+        ends = [(cost + self.cost[a][b][0], _unwind(said)) for (a, b), (cost, said) in best.items()]
+        return "".join(decided) + min(ends)[1]
+
+
+def _unwind(said: tuple | None) -> str:
+    parts = []
+    while said is not None:
+        said, letters = said
+        parts.append(letters)
+    return "".join(parts[::-1])
 
 
 def words_of(text: str | None, restorer: Restorer) -> set[str]:
@@ -124,14 +156,15 @@ def words_of(text: str | None, restorer: Restorer) -> set[str]:
     odd = [w for w in words if len(w) > 2 and _REPEATED.search(w)]
     tokens = text.split()
     mixed = {t for t in tokens if not t.isalpha()}
-    mixed = {t for t in {t.strip(_EDGES) for t in mixed} if 2 < len(t) < 40 and not t.isalpha()}
+    mixed = {t for t in {t.strip(_EDGES) for t in mixed} if len(t) > 2 and not t.isalpha()}
     for t in mixed:
-        t = t.translate(_GAPS)
-        if _LETTER.search(t) and (_MASKS.search(t) or len(t) > 2):
+        bare = t.translate(_GAPS)
+        if _LETTER.search(bare) and (_MASKS.search(bare) or len(bare) > 2):
             odd.append(t)
-    if sum(map(len, tokens)) < 3 * len(tokens) or sum(len(t) == 1 for t in tokens) > 2:
-        odd += {m.translate(_GAPS) for m in _SPACED.findall(text)}
-    return words.union(map(restorer.restore, odd))
+    odd += set(_SPACED.findall(text))
+    # What is written with gaps may be one word too, whatever spaces the model would rather read.
+    readings = {*odd, *(t.translate(_GAPS) for t in odd)}
+    return words.union(*(restorer.restore(t).split() for t in readings))
 
 
 def features(word: str) -> list[int]:
@@ -266,7 +299,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     Noisy channel: words that hold obfuscating characters, letters spaced out or
     letters repeated three times or more become lattices of what they may stand
     for, and Viterbi decoding under a character trigram model of the whole corpus
-    restores them. The words of the text and the restored ones are scored by
+    restores them, of any length, with the spaces between words where letters are
+    spaced out or joined. The words of the text and the restored ones are scored by
     log-odds of their labelled holders, and a logistic step joins the evidence.
     ``labels`` should hold the rows to learn from only.
 

@@ -259,6 +259,15 @@ def test_leet_words_of_a_text_are_restored():
     assert {"idiot", "shit", "toxic", "arse"} <= found
 
 
+def test_words_of_any_length_and_gaps_are_restored():
+    r = english()
+    long_text = " you are the worst of them all " * 30
+    assert "idiot" in toxicity.words_of(long_text + "you i. d. i. o. t", r)
+    assert {"you", "idiot"} <= toxicity.words_of("y o u  i d i o t", r) & toxicity.words_of("y o u i d i o t", r)
+    assert "idiot" in toxicity.words_of("you.are." * 20 + "1d10t", r)
+    assert r.restore("1d10t-" * 50_000).split() == ["idiot"] * 50_000
+
+
 def test_toxicity_holds_out(spark):
     rows = [(k, prose(40, k) + (" you scum loser" if k % 3 == 0 else "")) for k in range(400)]
     table = spark.createDataFrame([*rows, (400, "you 5cum l0ser " + prose(20, 77)), (401, ""), (402, None)], "doc_id long, text string")
