@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.llm.common import materialise
+
 # The rules as (action, host, path).
 RULES = (
     ("block", "net", "/"),
@@ -22,8 +24,6 @@ RULES = (
 )
 #: Words that mark a host as unwanted in the training of the classifier.
 SEEDS = frozenset("adult ads bets betting casino escort gambling pills poker porn spam track tracker viagra warez xxx".split())
-#: The word model keeps at most so many words, the most frequent ones, whole counts at a time; every text is counted.
-MAX_WORDS = 50_000
 #: Token counts of the classifier are kept in so many hashed places, whatever the input.
 PLACES = 1 << 16
 LONGEST = 24
@@ -49,16 +49,16 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colu
 class Segmenter:
     """Splits a concatenated name into its likeliest words under a unigram model."""
 
-    def __init__(self, counts: dict[str, int]):
-        self.counts = counts
-        total = sum(counts.values()) or 1
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        self.counts, self.total = counts, total
+        total = total or sum(counts.values()) or 1
         self.cost = {w: math.log(total / n) for w, n in counts.items()}
         # An unknown word costs more than any known one, and more with each letter.
         self.unknown = [math.log(total * 10) + 2.3 * k for k in range(LONGEST + 1)]
         self.split = lru_cache(100_000)(self._split)
 
     def __reduce__(self):
-        return Segmenter, (self.counts,)
+        return Segmenter, (self.counts, self.total)
 
     def _split(self, name: str) -> tuple[str, ...]:
         best, back = [0.0] + [math.inf] * len(name), [0] * (len(name) + 1)
@@ -112,22 +112,23 @@ def fit(urls: DataFrame, texts: DataFrame):
     """Word model and classifier from all urls and all titles, as ``(Segmenter broadcast, weights, prior)``.
 
     Words are counted in titles, in paths and in hosts that part their words
-    with hyphens. The classifier's labels come from the segmented host: 1 where
+    with hyphens. The model holds each of them that is a substring of a host, and
+    SEEDS, and splits hosts as one of all words would. The classifier's labels come from the segmented host: 1 where
     a word is one of SEEDS.
     """
     spark = urls.sparkSession
     pieces = F.split(F.concat_ws(" ", F.when(F.col("host").contains("-"), F.col("host")), F.col("path")), r"[^\p{L}]+")
     said = urls.select(F.explode(pieces).alias("w")).union(texts.select(F.explode(F.split(F.lower("title"), r"[^\p{L}]+")).alias("w")))
     counted = said.where(F.length("w").between(1, LONGEST)).groupBy("w").count()
-    # The least count that keeps no more than MAX_WORDS words, from the counts of counts: no task sends the driver more than what is kept.
-    least, room = 1, MAX_WORDS
-    for r in counted.groupBy("count").agg(F.count("*").alias("words")).orderBy(F.desc("count")).collect():
-        room -= r["words"]
-        if room < 0:
-            least = r["count"] + 1
-            break
-    counts = counted.where(F.col("count") >= least).collect()
-    segmenter = spark.sparkContext.broadcast(Segmenter({r["w"]: r["count"] for r in counts}))
+    counted = materialise(counted, "words")
+    # Only a word that stands in some host can be split out of one; a merge join at every size, since the substrings grow with the hosts.
+    names = urls.select("host").distinct().select(F.explode(F.split("host", r"[^\p{L}]+")).alias("name")).where("name <> ''").distinct()
+    starts = names.select("name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("at"))
+    inside = starts.select(F.explode(F.expr(f"transform(sequence(1, least({LONGEST}, length(name) - at + 1)), n -> substring(name, at, n))")).alias("w")).distinct()
+    counts = {r["w"]: r["count"] for r in counted.join(inside.hint("merge"), "w", "left_semi").collect()}
+    total = counted.agg(F.sum("count")).first()[0] or 0
+    unseen = SEEDS - counts.keys()
+    segmenter = spark.sparkContext.broadcast(Segmenter(counts | dict.fromkeys(unseen, 1), total + len(unseen)))
     held, docs = np.zeros((2, PLACES)), np.zeros(2)
     for r in urls.select("host", "path").mapInArrow(_count(segmenter), "label int, place int, n long").groupBy("label", "place").agg(F.sum("n").alias("n")).collect():
         if r["place"] < 0:
@@ -167,8 +168,8 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     The longest fitting rule decides; where none fits, multinomial naive Bayes
     over the words of the host (split by unigram Viterbi) and the path's tokens
     does: ``block`` for a positive log-odds ``score``. Models are fitted on all
-    rows of ``pages`` and have a fixed size (MAX_WORDS words, PLACES counts), so
-    they may be broadcast. Scoring keeps each row where it is, with caches of
+    rows of ``pages`` and broadcast: PLACES counts, and the words that stand in
+    hosts, without a bound on their number. Scoring keeps each row where it is, with caches of
     bounded size in the workers, so a host with very many pages needs no shuffle.
 
     Null urls and urls without ``://`` have an empty host and path and fit no

@@ -307,3 +307,13 @@ def test_empty_tables(spark):
     assert minhash.near_duplicates(none).count() == 0 and linededup.remove_shared_passages(none).count() == 0
     assert decontaminate.find_contamination(none, bench, ["doc_id"]).count() == 0 and toxicity.score_toxicity(none, labels).count() == 0
     assert quality.clean_and_judge(none).count() == 0 and tokencount.count_tokens(none, WORD).count() == 0
+
+
+def test_rare_words_split_hosts_beside_many_frequent_ones(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    many = " ".join("q" + "".join(letters[k // 26**i % 26] for i in range(4)) for k in range(51_000))
+    urls = spark.createDataFrame([("buyviagra.example.org", "/"), ("xcasinox.example.org", "/")], "host string, path string")
+    titles = spark.createDataFrame([("Buy viagra",), (many,), (many,)], "title string")
+    segmenter = urlfilter.fit(urls, titles)[0].value
+    assert segmenter.split("buyviagra") == ("buy", "viagra") and "casino" in segmenter.counts
+    assert segmenter.total >= 102_002 and len(segmenter.counts) < 50
