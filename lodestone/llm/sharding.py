@@ -2,82 +2,114 @@
 
 from __future__ import annotations
 
-import heapq
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import key128, materialise, utf8_bytes
 
 #: Slots of a shard are numbered in so many cells, each sorted by one task.
 CELLS = 256
-LEVELS, PER_LEVEL = 13, 128
+#: Groups of one size are ranked in cells of at most about so many.
+RANKED = 1 << 16
+#: A group of at least 1 / LARGE of all rows is a large one.
+LARGE = 1024
 
 
-def schedule(items: list[tuple[str, int]], n_shards: int) -> dict[str, int]:
-    """Largest item first, each to the least-loaded shard; ties by key and shard number."""
-    loads = [(0, shard) for shard in range(n_shards)]
-    placed = {}
-    for key, size in sorted(items, key=lambda item: (-item[1], item[0])):
-        load, shard = heapq.heappop(loads)
-        placed[key] = shard
-        heapq.heappush(loads, (load + size, shard))
-    return placed
+def deal(loads: list[int], size: int, count: int) -> list[int]:
+    """How many of ``count`` items of one size a heap of ``loads`` hands to each shard.
+
+    Item by item the least-loaded shard, the lower number on a tie, takes the next
+    one: shard j takes its k-th item at load ``loads[j] + k * size``, so the items go
+    to the ``count`` smallest of these pairs of load and shard. The highest load that
+    is used up whole is found by bisection, not item by item.
+    """
+
+    def below(level: int) -> list[int]:
+        return [max(0, -(-(level - load) // size)) for load in loads]
+
+    low, high = min(loads), min(loads) + size * count
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if sum(below(middle)) <= count else (low, middle - 1)
+    taken = below(low)
+    left = count - sum(taken)
+    for j, load in enumerate(loads):
+        if left and load + taken[j] * size == low:
+            taken[j] += 1
+            left -= 1
+    return taken
+
+
+def schedule(sizes: Iterable[tuple[int, int]], n_shards: int) -> Iterator[tuple[int, list[int]]]:
+    """Longest-processing-time scheduling of ``(size, count)``, largest first.
+
+    Yields each size with the ranks at which the shards' shares end: shard j takes
+    the items of ranks ``ends[j - 1] <= rank < ends[j]``.
+    """
+    loads = [0] * n_shards
+    for size, count in sizes:
+        ends, before = [], 0
+        for j, n in enumerate(deal(loads, size, count)):
+            loads[j] += n * size
+            before += n
+            ends.append(before)
+        yield size, ends
 
 
-def shard(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col: str = "text", fine: int = 256) -> DataFrame:
+def _running_start(counted: DataFrame, by: list[str], cell: str, n: str) -> Column:
+    before = Window.partitionBy(*by).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(n).over(before), F.lit(0))
+
+
+def shard(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Put all rows into ``n_shards`` shards of near-equal bytes, equal texts together.
 
-    A row's size is its text's UTF-8 bytes plus 8. Longest-processing-time
-    scheduling needs its items in one heap, so the items have a bound that does
-    not grow with the data: a group of at least ``1 / (n_shards * fine)`` of all
-    bytes is an item of its own (there are at most ``n_shards * fine`` of them);
-    the other groups are hashed whole into ``LEVELS * PER_LEVEL`` bundles whose
-    expected sizes halve from level to level, so that the last items placed are
-    tiny and level the shards out.
+    A row's size is its text's UTF-8 bytes plus 8. Groups of equal texts are dealt by
+    longest-processing-time: the largest first, each to the least-loaded shard. Only
+    sizes decide, so the driver sees the histogram of group sizes, streamed in falling
+    order: distinct sizes number at most the root of twice all bytes. Runs of equal
+    size pass the heap at once (:func:`deal`); each group then finds its shard by its
+    rank among the groups of its size, ranked in hashed cells, so that a size which
+    very many groups have is no hot key. The plan is joined by a merge, not broadcast.
 
     Returns one row per input row: ``doc_id, size, text_crc32, law, shard, slot,
     grown_shard`` and ``group_key``. Null texts have size 8, a null checksum and
-    are one group; an empty text is another group. Equal ids and wholly equal
-    rows each keep a slot of their own. An empty table gives no rows. Other
-    columns of ``docs`` are not read.
+    are one group; an empty text is another group. Texts of any length count whole.
+    Equal and null ids and wholly equal rows each keep a slot of their own. An empty
+    table gives no rows. Other columns of ``docs`` are not read.
     """
     text = F.col(text_col)
-    rows = materialise(
-        docs.select(F.col(id_col).alias("doc_id"), (utf8_bytes(text) + 8).alias("size"), F.crc32(text).alias("text_crc32"), key128(text).alias("group_key")),
-        "shard-rows",
-    )
+    rows = docs.select(F.col(id_col).alias("doc_id"), (utf8_bytes(text) + 8).alias("size"), F.crc32(text).alias("text_crc32"), key128(text).alias("group_key"))
+    # Written with a number for each row, by which equal rows are told apart.
+    rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()), "shard-rows")
     spark = docs.sparkSession
-    groups = rows.groupBy("group_key").agg(F.sum("size").alias("g_size"))
-    total = rows.agg(F.sum("size")).first()[0] or 0
-
-    mixed = F.shiftrightunsigned(F.xxhash64("group_key"), 1)
-    level = F.least(F.expr("bit_count((h & -h) - 1)"), F.lit(LEVELS - 1))
-    bundle = F.concat(F.lit("b"), level, F.lit("-"), F.pmod(F.shiftrightunsigned("h", 20), F.lit(PER_LEVEL)))
-    large = F.col("g_size") * (n_shards * fine) >= F.lit(total)
-    items = (
-        groups.withColumn("h", mixed)
-        .withColumn("item", F.when(large, F.concat(F.lit("g"), F.hex("group_key"))).otherwise(bundle))
-        .groupBy("item")
-        .agg(F.sum("g_size").alias("size"))
-        .collect()
-    )
-    placed = schedule([(r["item"], r["size"]) for r in items], n_shards)
-    plan = F.broadcast(spark.createDataFrame([(k, v) for k, v in placed.items()], "item string, shard int"))
-
-    own = F.broadcast(spark.createDataFrame([(bytes.fromhex(k[1:]), v) for k, v in placed.items() if k[0] == "g"], "group_key binary, own_shard int"))
-    cell = F.pmod(F.xxhash64("doc_id", "size"), F.lit(CELLS)).cast("int")
-    dealt = (
-        rows.withColumn("h", mixed)
-        .join(own, "group_key", "left")
-        .withColumn("item", bundle)
-        .join(plan, "item", "left")
-        .select("doc_id", "size", "text_crc32", "group_key", F.coalesce("own_shard", "shard").alias("shard"), cell.alias("cell"))
-    )
+    groups = materialise(rows.groupBy("group_key").agg(F.sum("size").alias("g_size"), F.count("*").alias("n")), "groups")
+
+    histogram = materialise(groups.groupBy("g_size").agg(F.count("*").alias("n")), "sizes")
+    sizes = ((r["g_size"], r["n"]) for r in histogram.orderBy(F.desc("g_size")).toLocalIterator())
+    planned = pa.Table.from_pylist([{"g_size": size, "ends": ends} for size, ends in schedule(sizes, n_shards)], pa.schema([("g_size", pa.int64()), ("ends", pa.list_(pa.int64()))]))
+    plan = materialise(spark.createDataFrame(planned), "plan") if planned.num_rows else spark.createDataFrame([], "g_size long, ends array<bigint>")
+
+    total = histogram.agg(F.sum("n")).first()[0] or 0
+    placed = groups.withColumn("cell", F.pmod(F.xxhash64("group_key"), F.lit(min(1 + total // RANKED, 4096))))
+    cells = placed.groupBy("g_size", "cell").agg(F.count("*").alias("n"))
+    starts = cells.select("g_size", "cell", _running_start(cells, ["g_size"], "cell", "n").alias("start")).join(plan.hint("merge"), "g_size")
+    nth = F.row_number().over(Window.partitionBy("g_size", "cell").orderBy("group_key"))
+    ranked = placed.withColumn("nth", nth).join(starts.hint("merge"), ["g_size", "cell"]).withColumn("rank", F.col("start") + F.col("nth") - 1)
+    home = materialise(ranked.select("group_key", "n", F.size(F.filter("ends", lambda e: e <= F.col("rank"))).alias("shard")), "home")
+
+    # At most LARGE groups hold a share of 1 / LARGE of all rows: those reach their rows by broadcast, the others by a merge.
+    large = F.broadcast(home.where(F.col("n") * LARGE >= rows.count()).select("group_key", F.col("shard").alias("own_shard")))
+    marked = rows.withColumn("cell", F.pmod(F.xxhash64("row"), F.lit(CELLS)).cast("int")).join(large, "group_key", "left")
+    small = marked.where("own_shard is null").drop("own_shard").join(home.drop("n").hint("merge"), "group_key")
+    dealt = materialise(marked.where("own_shard is not null").withColumnRenamed("own_shard", "shard").unionByName(small), "dealt")
     cells = dealt.groupBy("shard", "cell").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    starts = cells.select("shard", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    within = Window.partitionBy("shard", "cell").orderBy("doc_id", "size", "text_crc32")
+    starts = cells.select("shard", "cell", _running_start(cells, ["shard"], "cell", "n").alias("start"))
+    within = Window.partitionBy("shard", "cell").orderBy("doc_id", "row")
+    # One row for each shard and cell: a bound that no input changes.
     return (
         dealt.withColumn("nth", F.row_number().over(within))
         .join(F.broadcast(starts), ["shard", "cell"])

@@ -1,8 +1,11 @@
 """The corpus operators on small tables: edge cases and brute force."""
 
+import collections
+import heapq
 import itertools
 import random
 import re
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -27,25 +30,46 @@ def prose(n, seed):
 
 
 # --- 1 -------------------------------------------------------------------------------------
-def test_schedule_is_longest_first_to_the_least_loaded():
-    assert sharding.schedule([("a", 7), ("b", 5), ("c", 4), ("d", 3), ("e", 1)], 2) == {"a": 0, "b": 1, "c": 1, "d": 0, "e": 1}
-
-
-def test_shards(spark):
-    texts = [prose(i % 40 + 1, i) for i in range(300)] + ["same text"] * 60 + [None, None, "", "é" * 5000]
-    rows = sharding.shard(docs(spark, texts), 6).collect()
-    assert len(rows) == len(texts)
-    by_text = {}
+def plain_lpt(sizes, n_shards):
+    """One heap, item by item: how many items of each size every shard gets."""
+    heap, got = [(0, j) for j in range(n_shards)], {}
+    for size in sorted(sizes, reverse=True):
+        load, j = heapq.heappop(heap)
+        got[size, j] = got.get((size, j), 0) + 1
+        heapq.heappush(heap, (load + size, j))
+    return got
+
+
+def test_runs_of_equal_sizes_are_dealt_as_one_by_one():
+    rng = random.Random(1)
+    for _ in range(300):
+        n, sizes = rng.randint(1, 7), [rng.choice([1, 2, 3, 8, 9, 30]) for _ in range(rng.randint(0, 60))]
+        counted = sorted(collections.Counter(sizes).items(), reverse=True)
+        got = {(size, j): end - start for size, ends in sharding.schedule(counted, n) for j, (start, end) in enumerate(itertools.pairwise([0, *ends])) if end > start}
+        assert got == plain_lpt(sizes, n)
+
+
+@pytest.mark.parametrize("ranked", [sharding.RANKED, 4])
+def test_shards_are_those_of_plain_lpt(spark, monkeypatch, ranked):
+    monkeypatch.setattr(sharding, "RANKED", ranked)
+    monkeypatch.setattr(sharding, "LARGE", 10)
+    texts = [prose(i % 40 + 1, i) for i in range(300)] + ["same text"] * 60 + [f"t{k:03}" for k in range(80)] + [None, None, "", "é" * 5000]
+    table = docs(spark, texts).union(docs(spark, ["twice", "twice"], 9999)).union(spark.createDataFrame([(None, "no id", "x", "y", "z")] * 5 + [(1, texts[0], "x", "y", "z")], DOCS))
+    rows = sharding.shard(table, 6).collect()
+    held = [(r["doc_id"], r["text"]) for r in table.collect()]
+    assert sorted((r["doc_id"] or 0, r["size"], -1 if r["text_crc32"] is None else r["text_crc32"]) for r in rows) == sorted((k or 0, len((t or "").encode()) + 8, -1 if t is None else zlib.crc32(t.encode())) for k, t in held)
+    groups = {}
     for r in rows:
-        by_text.setdefault(texts[r["doc_id"] - 1], set()).add(r["shard"])
-        assert r["size"] == len((texts[r["doc_id"] - 1] or "").encode()) + 8
-    assert all(len(s) == 1 for s in by_text.values())
+        groups.setdefault(bytes(r["group_key"]), []).append(r)
+    assert len(groups) == len({t for _, t in held}) and all(len({r["shard"] for r in g}) == 1 for g in groups.values())
+    got = collections.Counter((sum(r["size"] for r in g), g[0]["shard"]) for g in groups.values())
+    by_text = collections.Counter()
+    for _, t in held:
+        by_text[t] += len((t or "").encode()) + 8
+    assert got == plain_lpt(by_text.values(), 6)
     for s in range(6):
         slots = sorted(r["slot"] for r in rows if r["shard"] == s)
         assert slots == list(range(len(slots)))
-    loads = [sum(r["size"] for r in rows if r["shard"] == s) for s in range(6)]
-    largest = max(sum(r["size"] for r in rows if texts[r["doc_id"] - 1] == t) for t in set(texts))
-    assert max(loads) - min(loads) <= largest
     assert sharding.shard(docs(spark, []), 6).count() == 0
 
 
