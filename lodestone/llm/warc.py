@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import struct
 import uuid
 import zlib
@@ -84,7 +86,14 @@ class WarcSource(DataSource):
 
     Options: ``splitBytes`` (128 MiB) bounds what a task reads and a file that is
     written holds; ``payload`` names the record types whose payload is wanted
-    (comma-separated; all by default, ``none`` for none).
+    (comma-separated; all by default, ``none`` for none); ``corrupt`` says what
+    becomes of a record that is cut short, does not inflate, fails its gzip CRC or
+    the payload's digest, or has a head that is none: ``raise`` (the default) ends
+    the query with file, offset and reason; ``row`` gives a row of record type
+    ``corrupt`` in its place, with these in ``headers``, so that such records can be
+    counted, and reads on from the next record that can be found. What is not
+    inflated (payloads that are not wanted, records that a filter drops) is not held
+    against its CRC or digest.
     """
 
     @classmethod
@@ -145,6 +154,9 @@ class WarcReader(DataSourceReader):
         self.uri, self.split = options["path"], int(options.get("splitBytes", 128 << 20))
         wanted = options.get("payload", "all")
         self.payload = None if wanted == "all" else frozenset() if wanted == "none" else frozenset(wanted.split(","))
+        self.corrupt = options.get("corrupt", "raise")
+        if self.corrupt not in ("raise", "row"):
+            raise ValueError(f"corrupt must be raise or row, not {self.corrupt}")
         self.tests: list[tuple[str, str, tuple]] = []
 
     def pushFilters(self, filters):
@@ -181,7 +193,29 @@ class WarcReader(DataSourceReader):
 
     def _takes_payload(self, head: dict[str, str]) -> bool:
         kind = head.get("WARC-Type", "")
-        return kind != "revisit" and (self.payload is None or kind in self.payload)
+        return kind not in ("revisit", "corrupt") and (self.payload is None or kind in self.payload)
+
+    def _records(self, file, path: str, start: int, end: int) -> Iterator[tuple[dict, bytes]]:
+        """The range's records; a broken one is an error or a row, and reading goes on behind it."""
+        zipped = path.endswith(".gz")
+        at: int | None = start if not zipped or start == 0 else _first_record(file, start, end)
+        while at is not None and at < end:
+            try:
+                one = (gz_record if zipped else plain_record)(file, at, self._wanted, self._takes_payload)
+            except CorruptRecord as broken:
+                if self.corrupt == "raise":
+                    raise ValueError(f"corrupt WARC record in {path} at offset {at}: {broken}") from broken
+                head = {"WARC-Type": "corrupt", "File": path, "Offset": str(at), "Reason": str(broken)}
+                if self._wanted(head):
+                    yield head, b""
+                at = _first_record(file, at + 1, end) if zipped else _next_plain(file, at + 1, end)
+                continue
+            if one is None:
+                return
+            head, block, length = one
+            if head is not None:
+                yield head, block
+            at += length
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         store, _ = open_store(self.uri)
@@ -190,7 +224,7 @@ class WarcReader(DataSourceReader):
         used = 0
         for path, start, end in partition.parts:
             with store.open_input_file(path) as file:
-                for head, block in (gz_records if path.endswith(".gz") else plain_records)(file, start, end, self._wanted, self._takes_payload):
+                for head, block in self._records(file, path, start, end):
                     http, payload = split_http(head, block)
                     length = next((int(v) for k, v in http.items() if k.lower() == "content-length" and v.strip().isdigit()), None)
                     if not self._takes_payload(head):
@@ -204,11 +238,26 @@ class WarcReader(DataSourceReader):
             yield pa.RecordBatch.from_pylist(rows, schema)
 
 
+class CorruptRecord(Exception):
+    """A record that cannot be read whole, or is not what its checksums say."""
+
+
 def parse_head(data: bytes) -> dict[str, str]:
     lines = data.decode("utf-8", "replace").split("\r\n")
     return {k.strip(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:]) if _}
 
 
+def warc_head(data: bytes) -> tuple[dict[str, str], int]:
+    """A record's header fields and its block's length."""
+    if not data.startswith(b"WARC/"):
+        raise CorruptRecord("no WARC version line")
+    head = parse_head(data)
+    length = head.get("Content-Length", "")
+    if not length.isdecimal():
+        raise CorruptRecord("no Content-Length")
+    return head, int(length)
+
+
 def split_http(head: dict[str, str], block: bytes) -> tuple[dict[str, str], bytes]:
     """HTTP header fields and body of a block; a block of another kind is all body."""
     if not head.get("Content-Type", "").startswith("application/http"):
@@ -217,34 +266,69 @@ def split_http(head: dict[str, str], block: bytes) -> tuple[dict[str, str], byte
     return parse_head(top), body
 
 
-def plain_records(file, start: int, end: int, wanted, takes_payload) -> Iterator[tuple[dict, bytes]]:
-    at = start
+def check_digest(head: dict[str, str], block: bytes) -> None:
+    """Hold a payload against its digest, if that is of a known kind and no transfer coding stands between."""
+    kind, _, want = head.get("WARC-Payload-Digest", "").partition(":")
+    if head.get("WARC-Type") == "revisit" or kind.lower() not in ("sha256", "sha1", "md5"):
+        return
+    http, payload = split_http(head, block)
+    if any(k.lower() in ("transfer-encoding", "content-encoding") for k in http):
+        return
+    made = hashlib.new(kind.lower(), payload)
+    if want.lower() != made.hexdigest() and want.upper().rstrip("=") != base64.b32encode(made.digest()).decode().rstrip("="):
+        raise CorruptRecord("the payload is not what its digest says")
+
+
+def plain_record(file, at: int, wanted, takes_payload) -> tuple[dict | None, bytes, int] | None:
+    """Head (none if unwanted), block and whole length of the record at ``at``; nothing at the file's end."""
+    file.seek(at)
+    data = b""
+    while (top := data.find(b"\r\n\r\n")) < 0:
+        more = file.read(4096)
+        if not more:
+            if not data.strip():
+                return None
+            raise CorruptRecord("the head is cut short")
+        if not data and not more.startswith(b"WARC/"):
+            raise CorruptRecord("no WARC version line")
+        data += more
+    head, length = warc_head(data[:top])
+    top += 4
+    if at + top + length > file.size():
+        raise CorruptRecord("the block is cut short")
+    if not wanted(head):
+        return None, b"", top + length + 4
+    size = length if takes_payload(head) else min(length, _READ)
+    block = data[top : top + size]
+    if len(block) < size:
+        file.seek(at + top + len(block))
+        block += file.read(size - len(block))
+    if takes_payload(head):
+        check_digest(head, block)
+    return head, block, top + length + 4
+
+
+def _next_plain(file, start: int, end: int) -> int | None:
+    """Offset of the next version line behind the end of a record in ``[start, end)``."""
+    at, tail = start, b""
     while at < end:
         file.seek(at)
-        data = b""
-        while b"\r\n\r\n" not in data:
-            more = file.read(4096)
-            if not more:
-                return
-            data += more
-        top = data.index(b"\r\n\r\n") + 4
-        head = parse_head(data[:top])
-        length = int(head.get("Content-Length", 0))
-        if wanted(head):
-            size = length if takes_payload(head) else min(length, _READ)
-            block = data[top : top + size]
-            if len(block) < size:
-                file.seek(at + top + len(block))
-                block += file.read(size - len(block))
-            yield head, block
-        at += top + length + 4
+        data = tail + file.read(_READ)
+        k = data.find(b"\r\n\r\nWARC/1.")
+        if k >= 0:
+            found = at - len(tail) + k + 4
+            return found if found < end else None
+        if len(data) == len(tail):
+            return None
+        at, tail = at - len(tail) + len(data), data[-10:]
+    return None
 
 
 def _member_at(file, at: int) -> tuple[bytes, int | None]:
     """The first bytes of a gzip member, and its length where its header tells it."""
     file.seek(at)
     data = file.read(_READ)
-    if data[:4] == _HEAD and data[12:14] == _LENGTH_FIELD:
+    if len(data) >= 24 and data[:4] == _HEAD and data[12:14] == _LENGTH_FIELD:
         return data, struct.unpack("<Q", data[16:24])[0]
     return data, None
 
@@ -271,51 +355,57 @@ def _first_record(file, start: int, end: int) -> int | None:
     return None
 
 
-def gz_records(file, start: int, end: int, wanted, takes_payload) -> Iterator[tuple[dict, bytes]]:
-    """Records whose member starts in ``[start, end)``: each head is inflated and judged
-    first; the rest of an unwanted member is stepped over, or inflated without being kept."""
-    at = 0 if start == 0 else _first_record(file, start, end)
-    while at is not None and at < end:
-        data, length = _member_at(file, at)
+def gz_record(file, at: int, wanted, takes_payload) -> tuple[dict | None, bytes, int] | None:
+    """Head (none if unwanted), block and whole length of the member at ``at``; nothing at the file's end.
+
+    The head is inflated and judged first; the rest of an unwanted member is stepped
+    over, or, where its length is not told, inflated without being kept. A member
+    whose payload is taken is inflated to its end, which checks its CRC.
+    """
+    data, length = _member_at(file, at)
+    if not data:
+        return None
+    inflate, read = zlib.decompressobj(31), at + len(data)
+
+    def more(limit: int = _READ) -> bytes:
+        """The next piece, which may be empty; an error where the file ends before the member."""
+        nonlocal data, read
         if not data:
-            return
-        inflate = zlib.decompressobj(31)
-        text, read = bytearray(inflate.decompress(data, 4096)), at + len(data)
-
-        def more(limit: int = _READ) -> bytes:
-            nonlocal read
-            if inflate.unconsumed_tail:
-                return inflate.decompress(inflate.unconsumed_tail, limit)
-            if inflate.eof:
-                return b""
             file.seek(read)
-            piece = file.read(_READ)
-            read += len(piece)
-            return inflate.decompress(piece, limit) if piece else b""
-
-        top = text.find(b"\r\n\r\n")
-        while top < 0 and not inflate.eof:
-            piece = more()
-            if not piece and not inflate.unconsumed_tail and file.tell() == read and not inflate.eof:
-                break
-            text += piece
-            top = text.find(b"\r\n\r\n")
-        if top < 0:
-            return
-        head = parse_head(bytes(text[:top]))
-        size = int(head.get("Content-Length", 0))
-        if wanted(head):
-            need = top + 4 + (size if takes_payload(head) else min(size, _READ))
-            while len(text) < need and not inflate.eof:
-                text += more(need - len(text) + 1)
-            yield head, bytes(text[top + 4 : need])
-        if length is None:
-            while not inflate.eof:
-                before = read
-                if not more() and read == before and not inflate.unconsumed_tail:
-                    return
-            length = read - len(inflate.unused_data) - at
-        at += length
+            data = file.read(_READ)
+            read += len(data)
+            if not data:
+                raise CorruptRecord("the member is cut short")
+        try:
+            made = inflate.decompress(data, limit)
+        except zlib.error as wrong:
+            raise CorruptRecord(str(wrong)) from wrong
+        data = inflate.unconsumed_tail
+        return made
+
+    text = bytearray(more(4096))
+    while (top := text.find(b"\r\n\r\n")) < 0:
+        if inflate.eof or not b"WARC/".startswith(bytes(text[:5])):
+            raise CorruptRecord("no WARC head")
+        text += more()
+    head, size = warc_head(bytes(text[:top]))
+    chosen, whole = wanted(head), takes_payload(head)
+    if chosen:
+        need = top + 4 + (size if whole else min(size, _READ))
+        while len(text) < need and not inflate.eof:
+            text += more(need - len(text) + 1)
+        if len(text) < need:
+            raise CorruptRecord("the block is shorter than its Content-Length")
+    if length is None or (chosen and whole):
+        while not inflate.eof:
+            more()
+        length = read - len(inflate.unused_data) - at
+    elif at + length > file.size():
+        raise CorruptRecord("the member is cut short")
+    block = bytes(text[top + 4 : need]) if chosen else b""
+    if chosen and whole:
+        check_digest(head, block)
+    return (head if chosen else None), block, length
 
 
 def write_warc(rows: DataFrame, uri: str, **options) -> None:
@@ -361,11 +451,15 @@ def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 def archive_pages(pages: DataFrame, uri: str | None = None, **columns) -> DataFrame:
     """Write all pages into WARC files (in the shared folder by default) and read them back.
 
-    An empty table gives no rows; other columns of ``pages`` are not read.
+    Responses are read with their payloads, revisits by their heads alone: both
+    tests are pushed down to the reader. Rows that share an id give a record each.
+    Pages of any length are held one at a time. An empty table gives no rows; other
+    columns of ``pages`` are not read.
     """
     spark = pages.sparkSession
     uri = uri or f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     store, folder = open_store(uri)
     store.create_dir(folder, recursive=True)
     write_warc(page_records(pages, **columns), uri)
-    return read_warc(spark, uri)
+    revisits = read_warc(spark, uri, payload="none").where("record_type = 'revisit'")
+    return read_warc(spark, uri).where("record_type = 'response'").union(revisits)

@@ -1,6 +1,8 @@
 """The corpus operators on small tables: edge cases and brute force."""
 
 import collections
+import gzip
+import hashlib
 import heapq
 import itertools
 import random
@@ -224,8 +226,6 @@ def test_warc(spark, tmp_path):
 
 
 def test_foreign_archives(spark, tmp_path):
-    import gzip
-
     records = [warc.make_record({"record_type": "response", "record_id": f"<{k}>", "warc_date": "d", "target_uri": "u", "refers_to": None, "payload_digest": None, "payload": b"x" * k, "payload_length": k}) for k in (0, 5, 9000)]
     (tmp_path / "a.warc").write_bytes(b"".join(records))
     (tmp_path / "b.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in records))
@@ -233,6 +233,59 @@ def test_foreign_archives(spark, tmp_path):
     assert sorted((r["record_id"], r["n"]) for r in got) == sorted([("<0>", 0), ("<5>", 5), ("<9000>", 9000)] * 2)
 
 
+def records(n, payload=b"the payload " * 30):
+    digest = "sha256:" + hashlib.sha256(payload).hexdigest()
+    fields = {"record_type": "response", "warc_date": "d", "target_uri": "u", "refers_to": None, "payload_digest": digest, "payload": payload, "payload_length": len(payload)}
+    return [warc.make_record(fields | {"record_id": f"<{k}>"}) for k in range(n)]
+
+
+def read_all(path, **options):
+    reader = warc.WarcReader({"path": str(path.parent), **options})
+    return [r for part in reader.partitions() for batch in reader.read(part) for r in batch.to_pylist()]
+
+
+@pytest.mark.parametrize("kind", ["own", "foreign", "plain"])
+def test_archives_cut_anywhere_end_with_an_error_or_a_row(tmp_path, kind):
+    pack = {"own": warc.pack_member, "foreign": gzip.compress, "plain": bytes}[kind]
+    first, last = (pack(r) for r in records(2))
+    path = tmp_path / ("a.warc" if kind == "plain" else "a.warc.gz")
+    path.write_bytes(first + last)
+    assert len(read_all(path)) == 2
+    end = len(last) - (4 if kind == "plain" else 0)  # A plain record may lack its last empty lines.
+    for size in range(1, end):
+        path.write_bytes(first + last[:size])
+        for options in ({}, {"payload": "none"}):
+            with pytest.raises(ValueError, match="corrupt WARC record in .* at offset"):
+                read_all(path, **options)
+        assert [r["record_type"] for r in read_all(path, corrupt="row")] == ["response", "corrupt"]
+
+
+@pytest.mark.parametrize("kind", ["own", "foreign", "plain"])
+def test_flipped_bytes_are_found_and_reading_goes_on(tmp_path, kind):
+    pack = {"own": lambda r: warc.pack_member(r, 0), "foreign": lambda r: gzip.compress(r, 0), "plain": bytes}[kind]
+    a, b, c = (pack(r) for r in records(3))
+    at = b.index(b"the payload") + 40
+    path = tmp_path / ("a.warc" if kind == "plain" else "a.warc.gz")
+    path.write_bytes(a + b[:at] + b"#" + b[at + 1 :] + c)
+    with pytest.raises(ValueError, match="corrupt"):
+        read_all(path)
+    rows = read_all(path, corrupt="row")
+    assert [r["record_type"] for r in rows] == ["response", "corrupt", "response"]
+    assert dict(rows[1]["headers"])["Offset"] == str(len(a)) and rows[2]["record_id"] == "<2>"
+    path.write_bytes(b"no archive at all" * 9)
+    assert [r["record_type"] for r in read_all(path, corrupt="row")] == ["corrupt"]
+
+
+def test_warc_ids_that_are_null_or_repeated(spark, tmp_path):
+    page = "<p>" + "long " * 40
+    rows = [(None, "u", page, "x"), (3, "u", page, "x"), (3, "u", page, "x"), (4, "v", page, "x"), (None, "u", None, "x"), (None, "w", page + "!", "x"), (None, "w", page + "!", "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, record_type string")
+    back = warc.archive_pages(pages, f"file://{tmp_path}/w").collect()
+    got = sorted((r["record_id"], r["record_type"], r["refers_to"] or "") for r in back)
+    one, none = "<urn:page:3>", "<urn:page:none>"
+    assert got == sorted([(none, "revisit", one), (one, "response", ""), (one, "response", ""), ("<urn:page:4>", "revisit", one), (none, "response", ""), (none, "response", ""), (none, "response", "")])
+
+
 # --- 6 -------------------------------------------------------------------------------------
 def test_quality(spark):
     good = "\n".join(prose(12, k) + "." for k in range(6))
