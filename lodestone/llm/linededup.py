@@ -14,8 +14,6 @@ from lodestone.llm.common import materialise
 from lodestone.llm.quality import SPACE_CHARS, let
 from lodestone.llm.shingles import mix
 
-#: Only the brute force in the pipeline's test reads this; pairing has no bound on holders.
-RARE = 8
 #: Later documents that are aligned with an earlier one in one go.
 BLOCK = 256
 
@@ -30,7 +28,7 @@ def heaviest_chain(points: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
         at = bisect_left(ends, j)
         total = weight + (best[at - 1] if at else 0)
         back.append(last[at - 1] if at else -1)
-        stop = at + bisect_right(best[at:], total)
+        stop = bisect_right(best, total, at)
         ends[at:stop], best[at:stop], last[at:stop] = [j], [total], [k]
     chain, k = [], last[-1] if last else -1
     while k >= 0:
@@ -70,27 +68,23 @@ def aligned_blocks(later: list[int], earlier: list[int], words: list[int], least
 
     Patience alignment: lines unique in both documents (the n-th equal line
     counts as a line of its own) are chained in rising order, the heaviest chain
-    by words; runs of it that are contiguous in both are the blocks. What a chain
-    leaves over because it stands in another order is aligned again. Lines that
-    stand in both and are in no block yet are then tried in all their occurrences:
-    a minimal run of ``later`` that stands anywhere in ``earlier`` is a block too.
+    by words; runs of it that are contiguous in both are the blocks. Lines that
+    stand in both and are in no block yet, in another order or beside a repeated
+    line, are then tried in all their occurrences: a minimal run of ``later`` that
+    stands anywhere in ``earlier`` is a block too. Both passes take time in
+    proportion to the lines (times a logarithm), in whatever order they stand.
     """
     where = {key: j for j, key in enumerate(numbered(earlier))}
-    points = [(i, where[key], words[i]) for i, key in enumerate(numbered(later)) if key in where]
-    gone: list[int] = []
-    while sum(p[2] for p in points) >= least:
-        chain = heaviest_chain(points)
-        found, start = [], 0
-        for k in range(1, len(chain) + 1):
-            if k == len(chain) or chain[k] != (chain[k - 1][0] + 1, chain[k - 1][1] + 1):
-                block = [i for i, _ in chain[start:k]]
-                if sum(words[i] for i in block) >= least:
-                    found += block
-                start = k
-        gone += found
-        done = {i for i, _ in chain}
-        points = [p for p in points if p[0] not in done]
-    return sorted({*gone, *_blocks_elsewhere(later, earlier, words, least, set(gone))})
+    chain = heaviest_chain([(i, where[key], words[i]) for i, key in enumerate(numbered(later)) if key in where])
+    gone: set[int] = set()
+    start = 0
+    for k in range(1, len(chain) + 1):
+        if k == len(chain) or chain[k] != (chain[k - 1][0] + 1, chain[k - 1][1] + 1):
+            block = [i for i, _ in chain[start:k]]
+            if sum(words[i] for i in block) >= least:
+                gone.update(block)
+            start = k
+    return sorted(gone | _blocks_elsewhere(later, earlier, words, least, gone))
 
 
 def _blocks_elsewhere(later: list[int], earlier: list[int], words: list[int], least: int, gone: set[int]) -> set[int]:
@@ -178,8 +172,9 @@ def remove_shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
     pairs each of its holders with its earliest one, whatever their number; every
     block that any earlier document holds is covered by such runs. The pair's lines
     are aligned (:func:`aligned_blocks`), and common blocks of at least so many
-    words are deleted from the later document, the one with the larger id. A block's lines all stand in an earlier document, and the
-    earliest holder of a line never loses it, so one copy stays.
+    words are deleted from the later document, the one with the larger id. A block's
+    lines all stand in an earlier document, and the earliest holder of a line never
+    loses it, so one copy stays.
 
     Returns the columns of ``docs``, with the text cleaned, and ``n_lines``,
     ``n_deleted`` (lines) and ``kept`` (false if every line with a word was
@@ -187,7 +182,8 @@ def remove_shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
     as they are, byte for byte. Null and blank texts and rows with a null id are
     left alone (``kept`` true). Rows with equal id and text are one document, and
     get equal answers; rows with equal id and other text are ordered by a hash of
-    the text. An empty table gives no rows.
+    the text. An empty table gives no rows. Texts of any length are handled whole, as
+    one row of line hashes.
 
     The earlier document's lines (hashes, not texts) are copied to blocks of about
     BLOCK later ones and each of these streams past them: no task holds all
