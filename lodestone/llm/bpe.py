@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections import OrderedDict
 from collections.abc import Iterator
 from hashlib import blake2b
@@ -67,6 +68,9 @@ class ChunkEncoder:
         to_byte = {c: b for b, c in enumerate(byte_alphabet())}
         ranks = {bytes(to_byte[c] for c in token): i for token, i in spec["model"]["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        # The leftmost special string, the longest of several at one place, parts a text in one pass.
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.parts = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")").split if self.special else None
         self.core = tiktoken.Encoding("chunks", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={})
         size = max([*ranks.values(), *self.special.values()]) + 1
         self.bytes_of = [b""] * size
@@ -141,14 +145,11 @@ class ChunkEncoder:
         if not text:
             return np.empty(0, np.uint32)
         done: list[np.ndarray] = []
-        rest = text
-        while rest:
-            at, special = min(((i, s) for s in self.special if (i := rest.find(s)) >= 0), default=(len(rest), ""))
-            if at:
-                done += self._segment(rest[:at])
-            if special:
-                done.append(np.array([self.special[special]], np.uint32))
-            rest = rest[at + len(special) :]
+        for piece in self.parts(text) if self.parts else [text]:
+            if piece in self.special:
+                done.append(np.array([self.special[piece]], np.uint32))
+            elif piece:
+                done += self._segment(piece)
         return np.concatenate(done)
 
     def decode(self, ids: np.ndarray) -> str:
@@ -187,8 +188,8 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
     No shuffle: a worker reuses the chunks it has encoded, for all documents and
     tasks that reach it, in a cache of bounded size. An exchange of chunks over
     the whole cluster would move every text and every id at least once, which is
-    dearer than encoding a shared chunk once per worker. Null counts as empty
-    and gives no ids. Repeated rows get equal ids; an empty table gives no rows;
+    dearer than encoding a shared chunk once per worker. Texts of any length are
+    encoded whole, in time in proportion to it. Null counts as empty and gives no ids. Repeated rows get equal ids; an empty table gives no rows;
     a column that bears the name of ``ids_col`` is replaced.
     """
     return _mapped(docs, text_col, ids_col, "binary", lambda text: encoder(tokenizer_path).encode(text).astype("<u4").tobytes())
