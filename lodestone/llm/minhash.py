@@ -13,9 +13,9 @@ from lodestone.llm.common import materialise
 from lodestone.llm.graph import components
 from lodestone.llm.shingles import intersection_size, mix, shingle_set
 
-#: Bands and minima in a band: a pair at similarity 0.85 shares no band with probability 4e-7.
-BANDS, ROWS = 25, 5
-HASHES = BANDS * ROWS
+HASHES = 128
+#: A pair at the threshold may share no band with this probability at most.
+MISS = 1e-6
 #: Low bits kept of each minimum; two unequal minima agree in them with probability 2 ** -BITS.
 BITS = 4
 #: Members of a group that are compared with its centre in one go.
@@ -38,18 +38,27 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     return least
 
 
-def band_keys(least: np.ndarray) -> np.ndarray:
+def banding(similarity: float) -> tuple[int, int]:
+    """Bands, and minima in a band: as many minima as keep a pair's chance to share no band within MISS.
+
+    At 0.85 these are 25 bands of 5 (4e-7), at 0.80 32 of 4 (5e-8), at 0.60 64 of 2 (4e-13);
+    at low similarities one minimum a band is the least, whatever the chance.
+    """
+    return next(((HASHES // rows, rows) for rows in range(16, 1, -1) if (1 - similarity**rows) ** (HASHES // rows) <= MISS), (HASHES, 1))
+
+
+def band_keys(least: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One 64-bit key for each band of each row of minima; bands never share keys by design."""
-    sums = (least.astype(np.uint64) * _BAND_FACTOR).reshape(len(least), BANDS, ROWS).sum(axis=2, dtype=np.uint64)
-    return mix(sums + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+    used = bands * rows
+    sums = (least[:, :used].astype(np.uint64) * _BAND_FACTOR[:used]).reshape(len(least), bands, rows).sum(axis=2, dtype=np.uint64)
+    return mix(sums + np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
 def pack(least: np.ndarray) -> np.ndarray:
     """The low BITS bits of all minima as bit planes: BITS * 2 longs a row."""
     planes = []
     for bit in range(BITS):
-        bits = np.zeros((len(least), 128), np.uint8)
-        bits[:, :HASHES] = (least >> np.uint32(bit)) & np.uint32(1)
+        bits = ((least >> np.uint32(bit)) & np.uint32(1)).astype(np.uint8)
         planes.append(np.packbits(bits, axis=1).view(np.int64))
     return np.hstack(planes)
 
@@ -69,7 +78,9 @@ def largest_mismatch(similarity: float, sigmas: float = 6.0) -> int:
 SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, signature array<long>"
 
 
-def _sign(size: int):
+def _sign(size: int, percent: int):
+    bands, rows = banding(percent / 100)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
@@ -77,9 +88,9 @@ def _sign(size: int):
                 sets = [shingle_set(t.as_buffer().to_pybytes() if t.is_valid else None, size) for t in part.column(1).cast(pa.binary())]
                 n = np.array([len(s) for s in sets], np.int64)
                 least = np.stack([minima(s) for s in sets])
-                keys, signs = band_keys(least), pack(least)
+                keys, signs = band_keys(least, bands, rows), pack(least)
                 prints = np.array([[np.add.reduce(mix(s ^ np.uint64(k))) for k in (0x1234567, 0x89ABCDEF01)] for s in sets], np.uint64).view(np.int64)
-                some = np.concatenate([[0], np.cumsum(np.where(n > 0, BANDS, 0))]).astype(np.int32)
+                some = np.concatenate([[0], np.cumsum(np.where(n > 0, bands, 0))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0).cast(pa.int64()),
@@ -225,8 +236,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``component_id`` is the smallest id reachable over links, ``kept`` marks it.
 
     Method: b-bit MinHash. One pass hashes each text's distinct shingles, takes
-    HASHES minima, keeps their low BITS bits as packed bit planes and forms BANDS
-    band keys. Documents of equal sets become one class before anything else. In
+    HASHES minima, keeps their low BITS bits as packed bit planes and forms band
+    keys, so many that a pair at the threshold shares none with probability MISS at
+    most (:func:`banding`). Documents of equal sets become one class before anything else. In
     each band bucket every class is paired with the bucket's smallest class only;
     pairs whose collision-corrected similarity estimate (bit counts over the
     planes) lies six standard deviations below the threshold go, the others are
@@ -242,11 +254,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     to 13; a text of fewer words than a shingle counts as one shingle. Null and
     blank texts have the empty set and are linked with nothing. Rows that share
     an id are one document, linked by either text. A null id is its own group:
-    ``component_id`` null, ``kept`` true. An empty table gives no rows. Other
-    columns are not read.
+    ``component_id`` null, ``kept`` true. Texts of any length are hashed whole, in
+    pieces. An empty table gives no rows. Other columns are not read.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = materialise(own.mapInArrow(_sign(shingle_words), SIGNED), "signed")
+    signed = materialise(own.mapInArrow(_sign(shingle_words, percent), SIGNED), "signed")
     most = largest_mismatch(percent / 100)
 
     some = signed.where("n_shingles > 0 and doc_id is not null")
