@@ -303,16 +303,32 @@ def test_quality(spark):
 
 
 # --- 7 -------------------------------------------------------------------------------------
-@pytest.mark.parametrize("most", [decontaminate.MAX_BENCHMARK_BYTES, 60])
+@pytest.mark.parametrize("most", [decontaminate.MAX_NODES, 200, 35])
 def test_decontamination(spark, most):
     item = [f"w{i}" for i in range(14)]
-    bench = spark.createDataFrame([(7, " ".join(item)), (10, "Tiny ITEM"), (11, None), (12, "!!"), (7, " ".join(item))], "item_id long, text string")
-    texts = ["x, W0 w1-w2 w3 w4 w5 w6 w7 w8 w9! y", " ".join(item[:9]), "a tiny  item é", "", None, " ".join(item) + " tiny item"]
-    found = decontaminate.find_contamination(docs(spark, texts), bench, ["doc_id"], with_text=True, max_bytes=most)
+    bench = spark.createDataFrame([(7, " ".join(item)), (10, "Tiny ITEM"), (11, None), (12, "!!"), (7, " ".join(item)), (None, "no id")], "item_id long, text string")
+    texts = ["x, W0 w1-w2 w3 w4 w5 w6 w7 w8 w9! y", " ".join(item[:9]), "a tiny  item é", "", None, " ".join(item) + " tiny item", "no id, tiny item"]
+    found = decontaminate.find_contamination(docs(spark, texts), bench, ["doc_id"], with_text=True, max_nodes=most)
     got = {r["doc_id"]: r for r in found.collect()}
-    covered = [sorted({p for x in got[k]["ranges"] for p in range(x["start"], x["end"])}) for k in range(1, 7)]
-    assert covered == [list(range(1, 11)), [], [1, 2], [], [], list(range(16))]
+    covered = [sorted({p for x in got[k]["ranges"] for p in range(x["start"], x["end"])}) for k in range(1, 8)]
+    assert covered == [list(range(1, 11)), [], [1, 2], [], [], list(range(16)), [0, 1, 2, 3]]
     assert got[6]["items"] == ["10", "7"] and got[1]["clean_text"] == "x, ! y" and got[3]["clean_text"] == "a  é" and got[5]["clean_text"] is None
+    assert got[7]["items"] == ["10", None] and got[4]["items"] == [] and got[1]["n_words"] == 12
+
+
+def test_automata_are_bounded_by_their_nodes():
+    rng = random.Random(4)
+    bench = [(k, " ".join(prose(1, rng.randrange(400)) for _ in range(rng.randint(1, 300)))) for k in range(20)]
+
+    class Rows:
+        def toLocalIterator(self):
+            return iter({"item_id": str(k), "text": t} for k, t in bench)
+
+    slices = list(decontaminate._slices(Rows(), 10, 3000))
+    nodes = [decontaminate.build(part, 10).get_stats()["nodes_count"] for part in slices]
+    assert len(nodes) > 5 and max(nodes) <= 3001
+    windows = {(k, w) for k, t in bench for w in decontaminate.windows_of(decontaminate.normal_words(t), 10)}
+    assert windows == {(int(k), w) for part in slices for k, t in part for w in decontaminate.windows_of(t.split(), 10)}
 
 
 # --- 8 -------------------------------------------------------------------------------------
@@ -358,7 +374,7 @@ def test_toxicity_holds_out(spark):
 def test_token_counts(spark):
     library, rng = Tokenizer.from_file(WORD), random.Random(1)
     alphabet = "aB'sS <|é\xa0ſıŉ²1\x1c\x85\tÿµß\"!x\n\x00Þ世İ"
-    texts = ["", None, "don't <|endoftext|> STOP", *("".join(rng.choice(alphabet) for _ in range(rng.randint(0, 14))) for _ in range(400)), prose(3000, 2)]
+    texts = ["", None, "don't <|endoftext|> STOP", *("".join(rng.choice(alphabet) for _ in range(rng.randint(0, 14))) for _ in range(400)), "“quoted” – don’t 世界 and 世界 plain words … " * 30, "x" * 5000 + " Å ﬁ Kelvin é", prose(3000, 2)]
     got = {r["doc_id"]: r for r in tokencount.count_tokens(docs(spark, texts), WORD).collect()}
     for k, t in enumerate(texts, 1):
         assert got[k]["n_tokens"] == len(library.encode(t or "", add_special_tokens=False).ids), repr(t)
@@ -366,6 +382,21 @@ def test_token_counts(spark):
     assert got[len(texts)]["over_limit"]
 
 
+def test_frequent_pre_tokens_of_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(tokencount, "TABLE", 3)
+    words, lengths = tokencount.frequent_lengths(docs(spark, ["qxzqxzqxz Hello you " * 9, "hello rare", "you qxzqxzqxz", None, ""]).select("text"), WORD)
+    library = Tokenizer.from_file(WORD)
+    assert words.decode().split() == ["hello", "qxzqxzqxz", "you"] and list(lengths) == [len(library.encode(w).ids) for w in words.decode().split()]
+    count = tokencount.counter(WORD, (words, lengths))
+    assert count("you rare hello “rare” rare") == len(library.encode("you rare hello “rare” rare").ids)
+    lengths_of = next(iter(tokencount._lengths_of.values()))
+    assert lengths_of[1].missed == 1 and list(lengths_of[2]) == ["“rare”"]
+    seen = tokencount.Frequent(2)
+    for k in range(50):
+        seen.update(["a", "a", "b", f"c{k}"])
+    assert seen.top()[:2] == [("a", 100), ("b", 50)] and len(seen.counts) <= 5
+
+
 # --- 10 ------------------------------------------------------------------------------------
 def test_url_rules_and_words(spark):
     rows = [("HTTP://X.Example.NET/en/a", "example.net/en/", "allow"), ("http://example.net/de/", "net/", "block"), ("http://example.net", None, None), ("https://a.example.com/de/x?y", "example.com/de/", "block"), ("http://b.org/fr/1#z", "org/fr/", "allow"), ("http://borg/fr/", None, None), (None, None, None), ("no scheme", None, None), ("http://", None, None), ("http://cheap-pills.com/x", None, "block"), ("http://cheappills.com/x", None, "block"), ("http://garden.com/x", None, "allow")]
