@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import materialise
-from lodestone.llm.quality import SPACE_CHARS, let
+from lodestone.llm.quality import count_spaces, has_word, let
 from lodestone.llm.shingles import mix
 
 #: Later documents that are aligned with an earlier one in one go.
@@ -191,11 +191,9 @@ def remove_shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """
     text = F.col(f"`{text_col}`").cast("string")
     key = [F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("text_hash")]
-    worded = lambda x: F.length(F.translate(x, SPACE_CHARS, "")) > 0
-    words = lambda x: F.length(x) - F.length(F.translate(x, " ", "")) + 1
-    parts = F.filter(F.split(text, "\n"), worded)
+    parts = F.filter(F.split(text, "\n"), has_word)
     sequences = docs.where(F.col(f"`{id_col}`").isNotNull() & text.isNotNull()).select(
-        *key, let(parts, lambda p: F.struct(F.transform(p, lambda x: F.xxhash64(x)).alias("h"), F.transform(p, lambda x: words(x)).alias("w"))).alias("s")
+        *key, let(parts, lambda p: F.struct(F.transform(p, lambda x: F.xxhash64(x)).alias("h"), F.transform(p, lambda x: count_spaces(x) + 1).alias("w"))).alias("s")
     )
     sequences = materialise(sequences.select("id", "text_hash", "s.h", "s.w").where("size(h) > 0").dropDuplicates(["id", "text_hash"]), "sequences")
 
@@ -220,13 +218,13 @@ def remove_shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     def rest(all_lines):
         # Places count lines with a word; a blank line goes only with its whole text.
-        with_word = F.filter(F.transform(all_lines, lambda x, i: F.when(worded(x), i)), lambda i: i.isNotNull())
+        with_word = F.filter(F.transform(all_lines, lambda x, i: F.when(has_word(x), i)), lambda i: i.isNotNull())
         gone = let(with_word, lambda k: F.transform(F.col("gone"), lambda g: F.get(k, g)))
         keep = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), gone)
         return F.array_join(F.transform(keep, lambda i: F.get(all_lines, i)), "\n")
 
     clean = F.when(F.col("gone").isNull(), F.col(f"row.`{text_col}`")).otherwise(let(body, rest))
-    n_lines = F.coalesce(F.size(F.filter(body, worded)), F.lit(0)).cast("long")
+    n_lines = F.coalesce(F.size(F.filter(body, has_word)), F.lit(0)).cast("long")
     n_deleted = F.coalesce(F.size("gone"), F.lit(0)).cast("long")
     columns = [clean.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in own]
     return base.select(*columns, n_lines.alias("n_lines"), n_deleted.alias("n_deleted"), ((n_deleted == 0) | (n_deleted < n_lines)).alias("kept"))

@@ -73,8 +73,11 @@ def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.clean_and_judge(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
-_PHRASES = " OR ".join(f"contains(lower(line), '{p}')" for p in quality.BOILERPLATE)
-_MENU = ", ".join(f"'{w}'" for w in quality.NAVIGATION)
+_quoted = lambda s: "'" + s.replace("'", "''") + "'"
+_PHRASES = " OR ".join(f"contains(lower(line), {_quoted(p)})" for p in quality.BOILERPLATE)
+_MENU = ", ".join(map(_quoted, quality.NAVIGATION))
+_CLOSING = ", ".join(map(_quoted, quality.CLOSING))
+_BARE = "trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 ORACLES["op6_line_rules"] = rf"""
 WITH d AS MATERIALIZED (
   SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents
@@ -90,12 +93,12 @@ WITH d AS MATERIALIZED (
   SELECT k, line FROM (SELECT k, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), judged AS (
   SELECT k, line, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars,
-    ({_PHRASES} OR trim(lower(line)) IN ({_MENU})
+    ({_PHRASES} OR lower({_BARE}) IN ({_MENU}) OR (n_words >= 10 AND right({_BARE}, 1) NOT IN ({_CLOSING}))
      OR (bars >= 3 AND bars * 4 >= n_words) OR symbols > length(line) * CAST(0.1 AS DOUBLE) OR (shouts > 0 AND shouts * 5 >= n_words)) AS bad
   FROM (SELECT *, length(line) - length(replace(line, '|', '')) AS bars,
       length(line) - length(translate(line, '#*$%&|<>{{}}', '')) AS symbols,
       len(regexp_extract_all(line, '[!?]{{2,}}(?:[\x20\x09-\x0D]|\z)')) AS shouts,
-      greatest(len(regexp_split_to_array(trim(line), ' +')), 1) AS n_words FROM lines)
+      length({_BARE}) - length(replace({_BARE}, ' ', '')) + 1 AS n_words FROM lines)
 ), summed AS (
   SELECT k, count(*) AS n_lines, count(*) FILTER (bad) AS n_failed_lines, coalesce(sum(chars) FILTER (bad), 0) AS lost_chars, count(*) - count(DISTINCT line) AS n_dup_lines
   FROM judged GROUP BY k
