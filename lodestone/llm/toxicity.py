@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.llm.common import materialise
+
 #: Labelled rows that the classifier is fitted on at most, those with the smallest hashes of their ids.
 MAX_TRAIN = 20_000
 #: Hashed places of word features.
@@ -53,18 +55,26 @@ _TABLE = _class_table()
 
 
 def classes_of(text: str) -> np.ndarray:
-    """Character classes of a lower-cased text; runs of non-letters are one edge."""
-    codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le"), np.uint32)
-    kinds = np.where(codes < len(_TABLE), _TABLE[np.minimum(codes, len(_TABLE) - 1)], 62)
-    return kinds[np.concatenate([[True], (kinds[1:] > 0) | (kinds[:-1] > 0)])]
+    """Character classes of a lower-cased text, 0 for what is no letter."""
+    codes = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
+    return np.where(codes < len(_TABLE), _TABLE[np.minimum(codes, len(_TABLE) - 1)], 62).astype(np.int64)
+
+
+#: Texts are counted in pieces of so many characters; the trigrams over a cut count too.
+PIECE = 1 << 20
 
 
 def trigram_counts(text: str | None, into: np.ndarray) -> None:
-    """Add a text's character trigrams to the CLASSES ** 3 counts; bounded memory for any length."""
-    for at in range(0, len(text or ""), 1 << 20):
-        k = classes_of(text[at : at + (1 << 20)]).astype(np.int64)
+    """Add a text's character trigrams to the CLASSES ** 3 counts; runs of non-letters are one
+    edge, which also stands before and behind the text. Bounded memory for any length."""
+    last = np.zeros(1, np.int64)
+    for at in range(0, len(text or ""), PIECE):
+        end = at + PIECE >= len(text)
+        k = np.concatenate([last, classes_of(text[at : at + PIECE]), np.zeros(int(end), np.int64)])
+        k = k[np.concatenate([[True], (k[1:] > 0) | (k[:-1] > 0)])]
         if len(k) > 2:
             np.add(into, np.bincount((k[:-2] * CLASSES + k[1:-1]) * CLASSES + k[2:], minlength=len(into)), out=into)
+        last = k[-2:]
 
 
 def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,7 +274,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
     chosen = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).withColumn("h", mixed)
     chosen = chosen.orderBy("h", "doc_id").limit(max_train).select("doc_id", "toxic", (F.pmod("h", F.lit(2))).cast("int").alias("half"))
     sample = spark.createDataFrame(chosen.collect(), "doc_id long, toxic int, half int")
-    train = docs.join(F.broadcast(sample), "doc_id").select("text", "toxic", "half")
+    # One text an id, whatever the table holds, so that what is learnt from keeps its bound.
+    train = docs.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic", "half").agg(F.min("text").alias("text"))
+    train = materialise(train.select("text", "toxic", "half"), "train")
     held = np.zeros((4, PLACES))
     for r in train.mapInArrow(_count_features(restorer), "g int, place int, n long").groupBy("g", "place").agg(F.sum("n").alias("n")).toLocalIterator():
         held[r["g"], r["place"]] = r["n"]
@@ -304,8 +316,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     log-odds of their labelled holders, and a logistic step joins the evidence.
     ``labels`` should hold the rows to learn from only.
 
-    Null and empty texts have no words and get the model's score for none. Equal
-    texts get equal scores. Without labels every score is 0.5. An empty table
+    Null and empty texts have no words and get the model's score for none. Texts of
+    any length are read whole. Equal texts get equal scores; of rows that share a
+    labelled id the smallest text is learnt from. Without labels every score is 0.5. An empty table
     gives no rows. Other columns are not read.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -347,6 +347,36 @@ def english():
     return toxicity.Restorer(counts)
 
 
+def test_restorer_finds_the_cheapest_reading_of_the_lattice():
+    r, rng = english(), random.Random(6)
+
+    def cost(letters):
+        x, y, total = 0, 0, 0.0
+        for c in [*letters, None]:
+            z = 0 if c is None else int(toxicity._TABLE[ord(c)])
+            total, x, y = total + r.cost[x][y][z], y, z
+        return total
+
+    for _ in range(150):
+        token = "".join(rng.choice("aiot1035@!$*. -t") for _ in range(rng.randint(1, 7))).strip(" .-_")
+        readings = {}
+        for path in itertools.product(*r.lattice(token)):
+            said = "".join(letters for letters, _ in path)
+            readings[said] = min(readings.get(said, 1e9), sum(extra for _, extra in path) + cost(said))
+        assert readings[r.restore(token)] <= min(readings.values()) + 1e-9, token
+
+
+def test_trigrams_count_over_the_cuts_of_a_long_text(monkeypatch):
+    text = " ..Ab c,  deé " * 7 + "世x"
+    whole, parts = np.zeros(toxicity.CLASSES**3, np.int64), np.zeros(toxicity.CLASSES**3, np.int64)
+    toxicity.trigram_counts(text, whole)
+    for piece in (1, 2, 5):
+        monkeypatch.setattr(toxicity, "PIECE", piece)
+        parts[:] = 0
+        toxicity.trigram_counts(text, parts)
+        assert np.array_equal(whole, parts)
+
+
 def test_leet_words_of_a_text_are_restored():
     found = toxicity.words_of("you 1d10t, 5h17 and (70x1c) 4r53!", english())
     assert {"idiot", "shit", "toxic", "arse"} <= found
@@ -365,6 +395,8 @@ def test_toxicity_holds_out(spark):
     rows = [(k, prose(40, k) + (" you scum loser" if k % 3 == 0 else "")) for k in range(400)]
     table = spark.createDataFrame([*rows, (400, "you 5cum l0ser " + prose(20, 77)), (401, ""), (402, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(300)], "doc_id long, toxic int")
+    # An id that very many rows share is learnt from once.
+    table = table.union(spark.createDataFrame([(1, "you scum loser " + prose(30, 5))] * 400, "doc_id long, text string"))
     got = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(table, labels).collect()}
     right = sum((got[k] >= 0.5) == (k % 3 == 0) for k in range(300, 400))
     assert right >= 98 and got[400] >= 0.5 and got[401] == got[402] < 0.5
