@@ -13,25 +13,52 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line-first rules reject go; the others lose their failing lines."""
+    """Documents that the line-first rules reject go; the others lose their failing lines.
+
+    Each row is judged by itself, whatever its id; a null or blank text is rejected.
+    """
     judged = quality.clean_and_judge(docs, passthrough=True).where("kept")
     return _documents(judged.drop("text").withColumnRenamed("clean_text", "text"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that an earlier document holds go; so do documents that held nothing else."""
+    """Passages that an earlier document holds go; so do documents that held nothing else.
+
+    Rows with a null id, and null and blank texts, are left alone; rows equal in id and
+    text get equal answers.
+    """
     return _documents(linededup.remove_shared_passages(docs).where("kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays (5-word shingles, similarity 0.8)."""
-    kept = minhash.near_duplicates(docs, shingle_words=5, percent=80).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi")
-    return _documents(named.union(docs.where("doc_id is null")))
+    """One document of each group of near-duplicates stays (5-word shingles, similarity 0.8).
+
+    That is the one with the smallest id, null the largest. Each pair of id and text is
+    a document of its own: rows that share an id, or have none, go only if their text is
+    linked to another's that stays; of rows equal in id and text one stays. Null and
+    blank texts are linked with nothing.
+    """
+    shared = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null")
+    if shared.isEmpty():
+        kept = minhash.near_duplicates(docs, shingle_words=5, percent=80).where("kept").select("doc_id")
+        return _documents(docs.join(kept, "doc_id", "left_semi"))
+    # Ids that tell nothing apart: documents are numbered in the order of id and text.
+    keyed = docs.withColumn("h", F.sha2("text", 256))
+    numbered = keyed.select("doc_id", "h").distinct().orderBy(F.col("doc_id").asc_nulls_last(), "h").withColumn("nr", F.monotonically_increasing_id())
+    numbered = materialise(numbered, "numbered")
+    n = numbered.select(F.col("doc_id").alias("i"), F.col("h").alias("t"), "nr")
+    rows = keyed.join(n, F.col("doc_id").eqNullSafe(F.col("i")) & F.col("h").eqNullSafe(F.col("t"))).select(*COLUMNS, "nr")
+    single = materialise(rows.groupBy("nr").agg(F.min(F.struct(*COLUMNS)).alias("d")).select("nr", "d.*"), "single")
+    kept = minhash.near_duplicates(single, "nr", shingle_words=5, percent=80).where("kept").select(F.col("doc_id").alias("nr"))
+    return _documents(single.join(kept, "nr", "left_semi"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a window of a benchmark item go.
+
+    Each row is judged by itself, whatever its id; null and blank texts hold none, and
+    without a benchmark all stay.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.find_contamination(docs, benchmark, [c for c in COLUMNS if c != "text"], with_text=True)
     # Without a hit the text comes back as it was.
@@ -39,7 +66,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether they decode to its text again."""
+    """Token ids of every document, and whether they decode to its text again.
+
+    One row for each, whatever its id; a null text counts as empty and decodes to that.
+    """
     path = public_tokenizers.path("byte_bpe_50k.json")
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     ids = bpe.encode(docs.select(*COLUMNS, digest.alias("text_sha256")), path)
