@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import heapq
 import json
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import html, names, urls
+from lodestone.sources.stage import staged
 
 # Where course listings are looked for.
 HUB_PATHS = (
@@ -63,9 +64,9 @@ def drop_institution_names(df: DataFrame, *site: str, institution: str = "instit
 
 
 def cap_per_url(df: DataFrame, *site: str, most: int = MAX_PER_URL) -> DataFrame:
-    """The first ``most`` stems of each url."""
-    w = Window.partitionBy(*site, "url").orderBy("ord")
-    return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most).drop("_n")
+    """All rows of the first ``most`` stems of each url; ``df`` has ``url``, ``stem`` and ``ord``."""
+    first = df.withColumn("_first", F.min("ord").over(Window.partitionBy(*site, "url", "stem")))
+    return first.withColumn("_n", F.dense_rank().over(Window.partitionBy(*site, "url").orderBy("_first"))).where(F.col("_n") <= most).drop("_n", "_first")
 
 
 def extraction_health(candidates: DataFrame, expected: DataFrame, site: str = "site_key") -> DataFrame:
@@ -88,6 +89,14 @@ def probe_verdicts(histogram: DataFrame, *keys: str, status: str = "status") ->
     return out.select(*keys, "resolved", verdict.alias("verdict"), ((F.col("refused") > 0) & (F.col("ok") == 0)).alias("refusing"))
 
 
+def one_a_url(pages: DataFrame, *keys: str) -> DataFrame:
+    """One row for each url: the last by status 200, then by all columns in order, so the choice is defined."""
+    keys = keys or ("url",)
+    others = [c for c in pages.columns if c not in keys]
+    best = F.struct((F.col("status") == 200).alias("ok"), F.struct(*others).alias("row")) if "status" in others else F.struct(F.struct(*others).alias("row"))
+    return pages.groupBy(*keys).agg(F.max(best).alias("b")).select(*keys, "b.row.*")
+
+
 def hub_probes(sites: DataFrame) -> DataFrame:
     """All probe urls of ``sites (site_key, website)`` in order: hub paths, then subdomains."""
     host = urls.netloc_of(F.col("website"))
@@ -104,10 +113,13 @@ def find_seeds(sites: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame
     ``pages``: url, status, final_url, text. Sign-in pages and soft 404s are no
     seeds; a soft 404 counts as the 404 it is.
     """
-    probed = hub_probes(sites).join(pages.select("url", "status", "final_url", "text").dropDuplicates(["url"]), "url", "left")
-    ok = (F.col("status") == 200) & (F.coalesce(F.length("text"), F.lit(0)) > 0)
+    body = F.coalesce(F.length("text"), F.lit(0)) > 0
+    # What is asked of a body is asked before the join; bodies are not shuffled.
+    seen = one_a_url(pages.select("url", "status", "final_url", body.alias("body"), F.coalesce(html.looks_like_soft_404(F.col("text")), F.lit(False)).alias("soft")))
+    probed = hub_probes(sites).join(seen, "url", "left")
+    ok = (F.col("status") == 200) & F.col("body")
     final = urls.clean_url(F.col("final_url"))
-    soft = ok & html.looks_like_soft_404(F.col("text"))
+    soft = ok & F.col("soft")
     auth = ok & urls.path_of(final).rlike(urls.AUTH_PATH)
     judged = probed.select("site_key", "k", "kind", final.alias("seed"), F.when(soft & ~auth, F.lit(404)).otherwise(F.col("status")).alias("status"), (ok & ~soft & ~auth).alias("good"))
     seeds = judged.where(F.col("good") & (F.col("seed") != "")).groupBy("site_key", "seed").agg(F.min("k").alias("k"))
@@ -121,77 +133,81 @@ def prior_parents(priors: DataFrame, most: int = MAX_PARENTS) -> DataFrame:
     return found.withColumn("k", F.row_number().over(w) - 1000).where(F.col("k") <= most - 1000).select("site_key", "seed", "k")
 
 
-CRAWLED = "site_key string, kind string, ord int, name string, url string, seed string, depth int"
+VISITED = "site_key string, url string, seed string, depth int, visit int"
+
 
+def _visit(site: pd.DataFrame) -> pd.DataFrame:
+    """The order in which a site's pages are visited, from its seeds and links alone.
 
-def _crawl(site: pd.DataFrame) -> pd.DataFrame:
-    """Best-first walk over one site's pages; a page's links come with it as an ordered list."""
+    ``best`` holds what is open: for each url the least ``(rank, depth, url, seed)`` that
+    led to it. The least of all is visited next, until the budget is spent.
+    """
     key, budget = site["site_key"].iloc[0], int(site["budget"].iloc[0])
-    pages = {r.url: r for r in site.itertuples(index=False) if r.url and r.kind == "page"}
-    seeds = list(dict.fromkeys(r.url for r in site[site["kind"] == "seed"].sort_values("k", kind="stable").itertuples(index=False)))
-    queue = [(1, 0, s, s) for s in seeds]
-    heapq.heapify(queue)
-    seen: set[str] = set()
-    found: dict[tuple[str, str], list] = {}
-    per_url: dict[str, int] = {}
-    visits = []
-    while queue and len(visits) < budget:
-        _, depth, url, origin = heapq.heappop(queue)
-        if not url or url in seen:
-            continue
-        seen.add(url)
-        visits.append((key, "page", len(visits), None, url, origin, depth))
-        page = pages.get(url)
-        if page is None or not page.ok:
-            continue
-        for link in page.links:
-            target = link["link"]
-            if link["index"] and target not in seen:
-                heapq.heappush(queue, (0, 0, target, origin))
-                continue
-            if not link["course_path"]:
-                continue
-            if link["course_name"]:
-                ident, text = (target, link["stem"]), link["anchor"]
-                have = found.get(ident)
-                if have is None and per_url.get(target, 0) >= MAX_PER_URL:
-                    continue
-                if have is None:
-                    per_url[target] = per_url.get(target, 0) + 1
-                    found[ident] = [text, origin]
-                elif len(text) > len(have[0]):
-                    have[0] = text
-            if depth < MAX_DEPTH and target not in seen:
-                heapq.heappush(queue, (0 if link["index"] else 1 if link["listing"] else 2, depth + 1, target, origin))
-    rows = visits + [(key, "candidate", k, text, url, origin, None) for k, ((url, _), (text, origin)) in enumerate(found.items())]
-    out = pd.DataFrame(rows, columns=["site_key", "kind", "ord", "name", "url", "seed", "depth"])
-    return out.astype({"ord": "Int32", "depth": "Int32"})
+    onward = {source: list(part[["link", "rank"]].itertuples(index=False, name=None)) for source, part in site[site["rank"] >= 0].groupby("source")}
+    best = {url: (1, 0, url, url) for url in site.loc[site["rank"] < 0, "link"] if url}
+    visited: dict[str, tuple] = {}
+    while best and len(visited) < budget:
+        here = min(best.values())
+        _, depth, url, seed = here
+        visited[url] = (seed, depth)
+        del best[url]
+        for link, rank in onward.get(url, ()):
+            # Index pages start again at depth 0; others lie one level below.
+            deeper = 0 if rank == 0 else depth + 1
+            if link not in visited and deeper <= MAX_DEPTH:
+                found = (rank, deeper, link, seed)
+                best[link] = min(best.get(link, found), found)
+    rows = [(key, url, seed, depth, k) for k, (url, (seed, depth)) in enumerate(visited.items())]
+    return pd.DataFrame(rows, columns=["site_key", "url", "seed", "depth", "visit"]).astype({"depth": "int32", "visit": "int32"})
+
+
+def page_links(pages: DataFrame, domains: DataFrame) -> DataFrame:
+    """Links of readable pages to their site's own domains, with what a crawl asks of each.
+
+    ``(site_key, url, pos, anchor, link, index, course, listing)``: ``index`` for
+    anchors that name an index, ``course`` for course names on course paths.
+    """
+    allowed = domains.groupBy("site_key").agg(F.collect_set("domain").alias("allowed"))
+    ok = (F.col("status") == 200) & (F.length("text") > 0)
+    raw = pages.select("site_key", urls.clean_url(F.col("url")).alias("url"), "status", F.when(ok, html.anchors(F.col("text"))).alias("anchors"), F.coalesce("final_url", "url").alias("base"))
+    raw = one_a_url(raw, "site_key", "url").where("anchors is not null").select("site_key", "url", "base", F.posexplode("anchors").alias("pos", "a"))
+    found = raw.select("site_key", "url", "pos", F.col("a.text").alias("anchor"), urls.clean_url(urls.resolve(F.col("base"), F.col("a.href"))).alias("link")).where("link <> ''")
+    found = found.join(allowed, "site_key").where(F.array_contains("allowed", urls.registrable(urls.netloc_of(F.col("link"))))).drop("allowed")
+    path, anchor = urls.path_of(F.col("link")), F.col("anchor")
+    return found.withColumns(
+        {"index": anchor.rlike(html.INDEX_ANCHOR), "on_path": path.rlike(urls.COURSE_PATH), "listing": path.rlike(urls.LISTING_HINT), "course": path.rlike(urls.COURSE_PATH) & html.looks_like_course_name(anchor)}
+    )
 
 
 def crawl(seeds: DataFrame, pages: DataFrame, domains: DataFrame, budgets: DataFrame) -> DataFrame:
-    """Bounded best-first crawl over stored pages, one site a group.
+    """Bounded best-first crawl over stored pages.
 
     ``seeds (site_key, k, seed)``, ``pages (site_key, url, status, final_url,
-    text)``, ``domains (site_key, domain)``, ``budgets (site_key, budget)``. What
-    the walk asks of a link is computed in columns beforehand, and only links on
-    the site's domains are sent, without page bodies. Returns rows of kind
-    ``page`` (visited, in order) and ``candidate`` (with the seed that found it).
+    text)``, ``domains (site_key, domain)``, ``budgets (site_key, budget)``. Only the
+    order of visits depends on what was seen before: it is a grouped map over the
+    distinct links ``(page, link, rank)`` of a site, without names or bodies. All else
+    is set-wise: candidates are the course links of visited pages, by url and stem,
+    with the seed and place of their first appearance, the longest anchor, and
+    MAX_PER_URL stems a url. Returns rows of kind ``page`` (visited, in order) and
+    ``candidate`` (with the seed that found it).
     """
-    allowed = domains.groupBy("site_key").agg(F.collect_set("domain").alias("allowed"))
-    raw = pages.select("site_key", urls.clean_url(F.col("url")).alias("url"), ((F.col("status") == 200) & (F.length("text") > 0)).alias("ok"), F.coalesce("final_url", "url").alias("base"), "text")
-    raw = raw.join(allowed, "site_key").dropDuplicates(["site_key", "url"])
-    seen = F.transform(html.anchors(F.col("text")), lambda a: F.struct(a["text"].alias("anchor"), urls.clean_url(urls.resolve(F.col("base"), a["href"])).alias("link")))
-    kept = F.filter(seen, lambda x: (x["link"] != "") & F.array_contains("allowed", urls.registrable(urls.netloc_of(x["link"]))))
-    rich = F.transform(
-        kept,
-        lambda x: F.struct(
-            x["anchor"].alias("anchor"), x["link"].alias("link"), x["anchor"].rlike(html.INDEX_ANCHOR).alias("index"), urls.path_of(x["link"]).rlike(urls.COURSE_PATH).alias("course_path"),
-            urls.path_of(x["link"]).rlike(urls.LISTING_HINT).alias("listing"), html.looks_like_course_name(x["anchor"]).alias("course_name"), names.variant_stem(x["anchor"]).alias("stem"),
-        ),
-    )
-    sent = raw.select("site_key", F.lit("page").alias("kind"), "url", F.lit(0).alias("k"), F.coalesce("ok", F.lit(False)).alias("ok"), rich.alias("links"))
-    first = seeds.select("site_key", F.lit("seed").alias("kind"), F.col("seed").alias("url"), "k", F.lit(False).alias("ok"), F.array().cast(sent.schema["links"].dataType).alias("links"))
-    return sent.unionByName(first).join(budgets, "site_key").groupBy("site_key").applyInPandas(_crawl, CRAWLED)
+    links_ = staged(page_links(pages, domains), "links")
+    rank = F.when(F.col("index"), 0).when(F.col("listing"), 1).otherwise(2)
+    onward = links_.where("index or on_path").groupBy("site_key", F.col("url").alias("source"), "link").agg(F.min(rank).alias("rank"))
+    first = seeds.select("site_key", F.lit("").alias("source"), F.col("seed").alias("link"), F.lit(-1).alias("rank"))
+    visits = staged(onward.unionByName(first).join(budgets, "site_key").groupBy("site_key").applyInPandas(_visit, VISITED), "visits")
+
+    at = visits.select("site_key", F.col("url").alias("link"), F.col("visit").alias("seen_at"))
+    named = links_.where("course").join(visits, ["site_key", "url"]).join(at, ["site_key", "link"], "left")
+    # An anchor that names an index, to a page not yet seen, was followed and is no candidate.
+    named = named.where(~F.col("index") | F.coalesce(F.col("seen_at") <= F.col("visit"), F.lit(False)))
+    place = F.struct("visit", "pos")
+    longest = F.struct((-F.length("anchor")).alias("n"), place.alias("place"))
+    merged = named.groupBy("site_key", F.col("link").alias("url"), names.variant_stem(F.col("anchor")).alias("stem")).agg(F.min(place).alias("o"), F.min_by("seed", place).alias("seed"), F.min_by("anchor", longest).alias("name"))
+    kept = cap_per_url(merged.withColumn("ord", F.col("o")), "site_key")
+    numbered = kept.withColumn("ord", F.row_number().over(Window.partitionBy("site_key").orderBy("o")) - 1)
+    candidates = numbered.select("site_key", F.lit("candidate").alias("kind"), "ord", "name", "url", "seed", F.lit(None).cast("int").alias("depth"))
+    return visits.select("site_key", F.lit("page").alias("kind"), F.col("visit").alias("ord"), F.lit(None).cast("string").alias("name"), "url", "seed", "depth").unionByName(candidates)
 
 
 def seed_yield(crawled: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -205,31 +221,43 @@ def harvest_prior(priors: DataFrame, pages: DataFrame, domains: DataFrame, most:
     w = Window.partitionBy("site_key").orderBy("ord")
     listed = priors.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most)
     listed = listed.select("site_key", "ord", urls.clean_url(F.col("url")).alias("url")).where("url <> ''").withColumn("domain", urls.registrable(urls.netloc_of(F.col("url"))))
-    on = listed.join(domains, ["site_key", "domain"], "left_semi").join(pages.where("status = 200 and length(text) > 0").select(urls.clean_url(F.col("url")).alias("url"), "text").dropDuplicates(["url"]), "url")
     heading = html.page_heading(F.col("text"))
-    named = on.select("site_key", "ord", "url", F.when(heading != "", heading).otherwise(html.page_title(F.col("text"))).alias("name")).where(html.looks_like_course_name(F.col("name")))
+    said = pages.where("status = 200 and length(text) > 0").select(urls.clean_url(F.col("url")).alias("url"), F.when(heading != "", heading).otherwise(html.page_title(F.col("text"))).alias("name"))
+    named = listed.join(domains, ["site_key", "domain"], "left_semi").join(one_a_url(said), "url").select("site_key", "ord", "url", "name").where(html.looks_like_course_name(F.col("name")))
     level = F.coalesce(urls.level_from_url(F.col("url")), names.level_of(F.col("name")))
     return merge_candidates(named.select("site_key", "ord", "url", "name", level.alias("level"), F.lit("prior").alias("source")), "site_key")
 
 
 def harvest_sitemaps(sites: DataFrame, pages: DataFrame, domains: DataFrame, most: int = MAX_SITEMAPS) -> DataFrame:
-    """Candidates of sitemaps, indexes expanded by iterated joins, ``most`` documents a site."""
+    """Candidates of sitemaps, indexes expanded level by level, ``most`` documents a site in all.
+
+    Documents are read in the order in which they are named, an index's before those
+    that it names; expansion ends when no site has an unread document and budget left.
+    """
     base = F.regexp_replace(F.col("website"), r"^([a-z]+://[^/]+).*$", "$1")
     usual = F.array(F.concat(base, F.lit("/sitemap.xml")), F.concat(base, F.lit("/sitemap_index.xml")))
-    body = pages.where("status = 200 and length(text) > 0").select("url", "text").dropDuplicates(["url"])
-    robots = sites.select("site_key", F.concat(base, F.lit("/robots.txt")).alias("url"), usual.alias("usual")).join(body, "url", "left")
-    todo = robots.select("site_key", F.posexplode(F.concat(F.coalesce(html.robots_sitemaps(F.col("text")), F.array().cast("array<string>")), F.col("usual"))).alias("o", "url"))
-    level, done, out = todo.groupBy("site_key", "url").agg(F.min("o").alias("o")), None, None
-    for _ in range(3):
+    text, found = F.col("text"), pages.where("status = 200 and length(text) > 0")
+    maps = one_a_url(found.select("url", F.contains(F.lower(text), F.lit("<sitemapindex")).alias("index"), html.sitemap_locs(text).alias("locs"), html.robots_sitemaps(text).alias("named")).where("size(locs) > 0 or size(named) > 0"))
+    maps = staged(maps, "sitemaps")
+    robots = sites.select("site_key", F.concat(base, F.lit("/robots.txt")).alias("url"), usual.alias("usual")).join(maps.select("url", "named"), "url", "left")
+    todo = robots.select("site_key", F.posexplode(F.concat(F.coalesce("named", F.array().cast("array<string>")), F.col("usual"))).alias("o", "url"))
+    level, out = todo.groupBy("site_key", "url").agg(F.min("o").cast("string").alias("o")), None
+    level = level.withColumn("o", F.lpad("o", 8, "0"))
+    known, left = None, sites.select("site_key", F.lit(most).alias("room"))
+    while True:
         w = Window.partitionBy("site_key").orderBy("o", "url")
-        level = level.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most).drop("_n")
-        read = level.join(body, "url")
-        index = F.contains(F.lower("text"), F.lit("<sitemapindex"))
-        locs = read.select("site_key", index.alias("index"), "o", F.posexplode(html.sitemap_locs(F.col("text"))).alias("p", "url"))
-        pages_of = locs.where(~F.col("index")).select("site_key", F.struct("o", "p").alias("o"), urls.clean_url(F.col("url")).alias("url"))
+        chosen = staged(level.join(left, "site_key").withColumn("_n", F.row_number().over(w)).where("_n <= room"), "level")
+        if chosen.isEmpty():
+            break
+        left = staged(left.join(chosen.groupBy("site_key").agg(F.count("*").alias("read")), "site_key", "left").select("site_key", (F.col("room") - F.coalesce("read", F.lit(0))).alias("room")).where("room > 0"), "left")
+        known = chosen.select("site_key", "url") if known is None else known.union(chosen.select("site_key", "url"))
+        locs = chosen.join(maps, "url").select("site_key", "index", "o", F.posexplode("locs").alias("p", "url"))
+        nth = F.concat_ws("/", "o", F.lpad(F.col("p").cast("string"), 8, "0"))
+        pages_of = locs.where("not index").select("site_key", nth.alias("o"), urls.clean_url(F.col("url")).alias("url"))
         out = pages_of if out is None else out.union(pages_of)
-        done = level.select("site_key", "url") if done is None else done.union(level.select("site_key", "url"))
-        level = locs.where("index").groupBy("site_key", "url").agg(F.min(F.col("o") * 100000 + F.col("p")).alias("o")).join(done, ["site_key", "url"], "left_anti")
+        level = locs.where("index").groupBy("site_key", "url").agg(F.min(nth).alias("o")).join(known, ["site_key", "url"], "left_anti")
+    if out is None:
+        out = level.select("site_key", "o", "url").where("false")
     named = out.where("url <> ''").withColumn("domain", urls.registrable(urls.netloc_of(F.col("url")))).join(domains, ["site_key", "domain"], "left_semi")
     named = named.where(urls.path_of(F.col("url")).rlike(urls.COURSE_PATH)).withColumn("name", urls.slug_to_name(F.col("url"))).where(html.looks_like_course_name(F.col("name")))
     first = named.groupBy("site_key", "url").agg(F.min_by("name", "o").alias("name"), F.min("o").alias("o"))
@@ -237,33 +265,45 @@ def harvest_sitemaps(sites: DataFrame, pages: DataFrame, domains: DataFrame, mos
     return first.select("site_key", "url", "name", urls.level_from_url(F.col("url")).alias("level"), F.lit("sitemap").alias("source"), F.row_number().over(w).alias("ord"))
 
 
-def _walk(node, found: list[tuple[str, str]]) -> None:
-    if isinstance(node, dict):
-        name = next((str(node[k]) for k in NAME_KEYS if isinstance(node.get(k), (str, int))), "")
-        href = next((node[k] for k in URL_KEYS if isinstance(node.get(k), str)), "")
-        if name and href:
-            found.append((name, href))
-    for child in node.values() if isinstance(node, dict) else node if isinstance(node, list) else ():
-        _walk(child, found)
+def json_objects(document) -> Iterator[dict]:
+    """All objects of a JSON document in document order, however deep."""
+    waiting = [document]
+    while waiting:
+        node = waiting.pop()
+        if isinstance(node, dict):
+            yield node
+        if isinstance(node, (dict, list)):
+            waiting.extend(reversed(node.values() if isinstance(node, dict) else node))
+
+
+def _named_link(node: dict) -> dict[str, str] | None:
+    name = next((str(node[k]) for k in NAME_KEYS if isinstance(node.get(k), (str, int))), "")
+    href = next((node[k] for k in URL_KEYS if isinstance(node.get(k), str)), "")
+    return {"name": name, "href": href} if name and href else None
 
 
 def _json_names(bodies: pd.Series) -> pd.Series:
-    out = []
-    for body in bodies:
-        found: list[tuple[str, str]] = []
+    def of(body: str | None) -> list[dict[str, str]]:
         try:
-            _walk(json.loads(body or ""), found)
+            return [x for x in map(_named_link, json_objects(json.loads(body or ""))) if x]
         except (ValueError, RecursionError):
-            found = []
-        out.append([{"name": n, "href": h} for n, h in found])
-    return pd.Series(out)
+            return []
+
+    return bodies.map(of)
 
 
 def json_candidates(documents: DataFrame, *keep: str, body: str = "text", url: str = "url") -> DataFrame:
     """``(keep..., ord, name, url, level, source)`` of every object with a name and a link, in
     document order; of equal urls the first. A body that is no JSON has none."""
-    walk = F.pandas_udf(_json_names, "array<struct<name:string,href:string>>")
-    found = documents.select(*keep, F.col(url).alias("_base"), F.posexplode(walk(F.col(body))).alias("ord", "c"))
+    walk = F.pandas_udf(_json_names, JSON_NAMES)
+    return _named_candidates(documents.select(*keep, F.col(url).alias("_base"), walk(F.col(body)).alias("named")), *keep, url="_base")
+
+
+JSON_NAMES = "array<struct<name:string,href:string>>"
+
+
+def _named_candidates(documents: DataFrame, *keep: str, url: str = "url") -> DataFrame:
+    found = documents.select(*keep, F.col(url).alias("_base"), F.posexplode("named").alias("ord", "c"))
     named = found.select(*keep, "ord", F.trim("c.name").alias("name"), urls.clean_url(urls.resolve(F.col("_base"), F.col("c.href"))).alias("url"))
     named = named.where((F.col("url") != "") & html.looks_like_course_name(F.col("name")))
     first = named.groupBy(*keep, "url").agg(F.min_by("name", "ord").alias("name"), F.min("ord").alias("ord"))
@@ -272,13 +312,17 @@ def json_candidates(documents: DataFrame, *keep: str, body: str = "text", url: s
 
 def harvest_json(seeds: DataFrame, pages: DataFrame, domains: DataFrame | None = None) -> DataFrame:
     """Candidates of the endpoints that a site's first seeds name."""
-    body = pages.where("status = 200 and length(text) > 0").select(urls.clean_url(F.col("url")).alias("url"), F.coalesce("final_url", "url").alias("final_url"), "text").dropDuplicates(["url"])
+    walk = F.pandas_udf(_json_names, JSON_NAMES)
+    body = pages.where("status = 200 and length(text) > 0").select(urls.clean_url(F.col("url")).alias("url"), "status", F.coalesce("final_url", "url").alias("final_url"), "text")
     w = Window.partitionBy("site_key").orderBy("k", "seed")
     few = seeds.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= MAX_JSON_SEEDS)
-    hints = few.join(body, few["seed"] == body["url"]).select("site_key", "k", "final_url", F.posexplode(html.json_hints(F.col("text"))).alias("p", "path"))
+    hinted = one_a_url(body.select("url", "status", "final_url", html.json_hints(F.col("text")).alias("paths")).where("size(paths) > 0"))
+    hints = few.join(hinted, few["seed"] == hinted["url"]).select("site_key", "k", "final_url", F.posexplode("paths").alias("p", "path"))
     points = hints.select("site_key", F.struct("k", "p").alias("o"), urls.clean_url(urls.resolve(F.col("final_url"), F.col("path"))).alias("url")).where("url <> ''").groupBy("site_key", "url").agg(F.min("o").alias("o"))
     points = points.withColumn("_n", F.row_number().over(Window.partitionBy("site_key").orderBy("o"))).where(F.col("_n") <= MAX_ENDPOINTS)
-    found = json_candidates(points.select("site_key", "url").join(body.select("url", "text"), "url"), "site_key")
+    # Endpoints are few: their bodies are picked out first and parsed where they lie.
+    wanted = body.join(points.select("url").distinct(), "url", "left_semi").select("url", "status", walk("text").alias("named"))
+    found = _named_candidates(points.select("site_key", "url").join(one_a_url(wanted), "url"), "site_key")
     if domains is None:
         return found
     return found.withColumn("domain", urls.registrable(urls.netloc_of(F.col("url")))).join(domains, ["site_key", "domain"], "left_semi").drop("domain")
@@ -303,9 +347,9 @@ def build_catalogs(sites: DataFrame, pages: DataFrame, priors: DataFrame) -> tup
     )
     domains = domains.where("domain <> ''").distinct()
     budgets = sites.select("site_key", page_budget(F.col("expected_rows")).alias("budget"))
-    # Read by several stages below; each is computed once and its plan ends there.
-    seeds, domains = seeds.persist(), domains.persist()
-    crawled = crawl(seeds, pages, domains, budgets).persist()
+    # What several rungs read is written, and so is what each rung leaves: plans stay small.
+    seeds, domains = staged(seeds, "seeds"), staged(domains, "domains")
+    crawled = staged(crawl(seeds, pages, domains, budgets), "crawled")
     level = F.coalesce(urls.level_from_url(F.col("url")), names.level_of(F.col("name")))
     listing = crawled.where("kind = 'candidate'").select("site_key", F.col("ord").cast("long").alias("ord"), "name", "url", level.alias("level"), F.lit("listing").alias("source"))
     prior = harvest_prior(priors, pages, domains)
@@ -314,12 +358,11 @@ def build_catalogs(sites: DataFrame, pages: DataFrame, priors: DataFrame) -> tup
     def absorb(df: DataFrame) -> DataFrame:
         return drop_institution_names(df.join(sites.select("site_key", "institution"), "site_key"), "site_key").select(*CANDIDATE, "stem", "institution")
 
-    have = absorb(listing.unionByName(shift(prior, 1_000_000))).persist()
+    have = staged(absorb(listing.unionByName(shift(prior, 1_000_000))), "candidates")
     expected = sites.select("site_key", "expected_rows")
-    for source, by, harvest in (("sitemap", 2_000_000, lambda s: harvest_sitemaps(s, pages, domains)), ("json", 3_000_000, lambda s: harvest_json(seeds.join(s, "site_key", "left_semi"), pages, domains))):
-        weak = extraction_health(have, expected).where(~F.col("healthy")).select("site_key")
-        extra = shift(harvest(sites.join(weak, "site_key", "left_semi")), by)
-        have = absorb(have.select(*CANDIDATE).unionByName(extra)).persist()
+    for source, by, harvest in (("sitemap", 2_000_000, lambda s: harvest_sitemaps(s, pages, domains)), ("json", 3_000_000, lambda s: harvest_json(seeds.join(s.select("site_key"), "site_key", "left_semi"), pages, domains))):
+        weak = staged(sites.join(extraction_health(have, expected).where(~F.col("healthy")).select("site_key"), "site_key", "left_semi"), "weak")
+        have = staged(absorb(have.select(*CANDIDATE).unionByName(shift(harvest(weak), by))), "candidates")
     health = extraction_health(have, expected)
     by_source = have.groupBy("site_key").agg(*[F.count_if(F.col("source") == s).alias(f"n_{s}") for s in SOURCE_RANK])
     own = crawled.where("kind = 'page'").join(pages.select("site_key", urls.clean_url(F.col("url")).alias("url"), "status"), ["site_key", "url"], "left")
@@ -345,4 +388,4 @@ def build_catalogs(sites: DataFrame, pages: DataFrame, priors: DataFrame) -> tup
         "site_key", "institution", "candidates", "healthy", named.alias("strategy"), reason.alias("failure_reason"),
         F.coalesce("pages_fetched", F.lit(0)).alias("pages_fetched"), F.lit(SCHEMA_VERSION).alias("schema_version"),
     )
-    return have.drop("institution"), catalogs.persist()
+    return have.drop("institution"), staged(catalogs, "catalogs")

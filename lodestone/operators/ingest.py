@@ -167,7 +167,7 @@ def legacy_rows(lines: DataFrame) -> DataFrame:
     """Course rows of a ragged legacy sheet (header line excluded), repaired lines flagged."""
     known = registry(lines)
     fixed = repair_lines(lines).withColumn("inst", F.when(F.col("institution") != "", F.col("institution")).otherwise(F.lower(F.trim(F.get("fields", F.lit(2))))))
-    fixed = fixed.join(F.broadcast(known.withColumnRenamed("institution", "inst").withColumnRenamed("website", "known_site")), "inst", "left")
+    fixed = fixed.join(known.withColumnRenamed("institution", "inst").withColumnRenamed("website", "known_site"), "inst", "left")
     field = lambda k: F.trim(F.coalesce(F.get("fields", F.lit(k)), F.lit("")))
     rest = F.concat_ws(" ", F.filter(F.slice("fields", 4, F.greatest(F.size("fields") - 3, F.lit(0))), lambda x: F.trim(x) != ""))
     sheet = fixed.select(

@@ -2,33 +2,42 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def chunk_starts(sizes: np.ndarray, chunks: int) -> list[int]:
+    """Where the chunks of an ordered run of sites begin.
+
+    With the sizes summed up, a chunk reaches to the last site that keeps it within
+    an equal share of the rows from its start on, over the chunks still to fill; the
+    next one begins there, if enough sites are left to give each later chunk one.
+    """
+    reach = np.concatenate([[0], np.cumsum(sizes)])
+    starts = [0]
+    for still in range(chunks, 1, -1):
+        here = reach[starts[-1]]
+        # In whole numbers: rows * still <= rows left is "within an equal share".
+        over = int(np.searchsorted((reach - here) * still, reach[-1] - here, "right")) - 1
+        begin = max(over, int(np.searchsorted(reach, here, "right")))
+        if len(sizes) - begin < max(still - 1, 1):
+            break
+        starts.append(begin)
+    return starts
+
+
 def pack_sites(sites: DataFrame, chunks: int, site: str = "site", rows: str = "rows", ord_: str = "ord") -> DataFrame:
     """``(site, rows, ord, chunk)``: sites in order into chunks of about equal rows.
 
-    A chunk is closed when the next site would overshoot what is left over the
-    chunks that are left, unless a later chunk would stay empty. The walk is
-    sequential over one narrow row a site, in one task.
+    The chunks' starts follow from one narrow number a site, its rows, which the
+    driver sums up; a site's chunk is the number of starts at or before its place.
     """
-
-    def pack(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values(ord_, kind="stable")
-        left, open_, chunk, used, n = int(df[rows].sum()), chunks, 0, 0, len(df)
-        placed = []
-        for k, size in enumerate(df[rows].tolist()):
-            if used and used + size > left / max(open_, 1) and open_ > 1 and n - k >= open_ - 1:
-                left, open_, chunk, used = left - used, open_ - 1, chunk + 1, 0
-            placed.append(chunk)
-            used += size
-        return df.assign(chunk=placed)
-
-    one = sites.select(F.lit(1).alias("_g"), F.col(site).alias(site), F.col(rows).cast("long").alias(rows), F.col(ord_).cast("long").alias(ord_))
-    schema = f"_g int, {site} {dict(one.dtypes)[site]}, {rows} long, {ord_} long, chunk int"
-    return one.groupBy("_g").applyInPandas(pack, schema).drop("_g")
+    kept = sites.select(F.col(site).alias(site), F.col(rows).cast("long").alias(rows), F.col(ord_).cast("long").alias(ord_))
+    inline = kept.select(ord_, rows).orderBy(ord_).toArrow()
+    orders = inline.column(ord_).to_numpy()
+    firsts = [int(orders[k]) for k in chunk_starts(inline.column(rows).to_numpy(), chunks)] if len(orders) else []
+    return kept.withColumn("chunk", F.size(F.filter(F.array(*map(F.lit, firsts)).cast("array<long>"), lambda x: x <= F.col(ord_))) - 1)
 
 
 def align(rows: DataFrame, source: DataFrame, key: str = "id", ord_: str = "ord") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import urls
 from lodestone.operators.matching import evidence
+from lodestone.sources.stage import ranked
 
 STATUSES = ("verified", "probable", "ambiguous", "no_match", "no_catalog", "url_dead")
 # Score bands of the calibration sample, lowest score of each.
@@ -69,8 +70,7 @@ def headline(results: DataFrame, catalogs: DataFrame, said_not_found: Column | N
 
 def review_queue(results: DataFrame, margin: str = "margin", score: str = "score", *tie: str) -> DataFrame:
     """Uncertain rows with their place in the queue, thinnest margin first."""
-    w = Window.orderBy(margin, F.desc(score), *(tie or ("id",)))
-    return results.where(F.col("status").isin("probable", "ambiguous")).withColumn("rank", F.row_number().over(w))
+    return ranked(results.where(F.col("status").isin("probable", "ambiguous")), "rank", margin, F.desc(score), *(tie or ("id",)))
 
 
 def score_band(score: Column) -> Column:

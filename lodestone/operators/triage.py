@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lodestone.functions import names, similarity, urls
 from lodestone.functions.names import text_of
 from lodestone.operators.matching import FLOOR, SHARE_CAP
+from lodestone.operators.sharing import Ledger
 
 WEAK, DEAD, TRUSTED, CARRIED = ("ambiguous",), "url_dead", ("matched",), "carried_over"
 
@@ -43,27 +44,20 @@ def _fold(cap: int):
 
     def run(site: pd.DataFrame) -> pd.DataFrame:
         site = site.sort_values(["ord", "id"], kind="stable")
-        about = {r.id: (r.stem, frozenset(r.classes)) for r in site.itertuples(index=False)}
-        holders: dict[str, list[str]] = {}
-        for r in site.itertuples(index=False):
-            if r.ours:
-                holders.setdefault(r.ours, []).append(r.id)
-        rows = []
-        for r in site.itertuples(index=False):
-            url, adopted = r.ours, ""
-            if r.decision in ("blank", "dead", "weak"):
-                current = holders.get(r.prior_clean, [])
-                stem, classes = about[r.id]
-                siblings = all(bool(stem) and stem == about[h][0] and (not classes or not about[h][1] or bool(classes & about[h][1])) for h in current)
-                if current and (len(current) >= cap or not siblings):
-                    adopted = "denied"
-                else:
-                    if r.id in holders.get(url, []):
-                        holders[url].remove(r.id)
-                    holders.setdefault(r.prior_clean, []).append(r.id)
-                    url, adopted = r.prior_clean, r.decision
-            rows.append((r.id, r.ord, url, adopted))
-        return pd.DataFrame(rows, columns=["id", "ord", "course_url", "adopted"])
+        ledger = Ledger(zip(site["id"], site["stem"], site["classes"], strict=True), cap)
+        for who, url in zip(site["id"], site["ours"], strict=True):
+            if url:
+                ledger.move(who, url)
+        wants = site["decision"].isin(["blank", "dead", "weak"])
+        outcome = []
+        for who, own, prior, decision in site.loc[wants, ["id", "ours", "prior_clean", "decision"]].itertuples(index=False):
+            free = ledger.objection(prior, who) is None
+            if free:
+                ledger.move(who, prior, own)
+            outcome.append((prior, decision) if free else (own, "denied"))
+        made = site[["id", "ord"]].assign(course_url=site["ours"], adopted="")
+        made.loc[wants, ["course_url", "adopted"]] = outcome if outcome else None
+        return made
 
     return run
 

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import html, similarity, urls
+from lodestone.operators.catalog import one_a_url
 from lodestone.operators.matching import CONFIDENT
+from lodestone.sources.stage import ranked
 
 
 def targets(results: DataFrame) -> DataFrame:
@@ -23,7 +25,7 @@ def verify(results: DataFrame, rows: DataFrame, pages: DataFrame, confident: flo
     heading = html.page_heading(F.col("text"))
     said = F.when(heading != "", heading).otherwise(html.page_title(F.col("text")))
     seen = pages.select(urls.clean_url(F.col("url")).alias("url"), "status", said.alias("_said"), (F.coalesce(F.length("text"), F.lit(0)) > 0).alias("_body"))
-    seen = seen.dropDuplicates(["url"]).select("url", F.col("status").alias("_http"), "_said", ((F.col("status") == 200) & F.col("_body")).alias("_ok"))
+    seen = one_a_url(seen).select("url", F.col("status").alias("_http"), "_said", ((F.col("status") == 200) & F.col("_body")).alias("_ok"))
     keys = ["site_key", "id"]
     joined = results.join(rows.select(*keys, "name", "institution_name"), keys).join(seen, "url", "left")
     scored = similarity.score_pairs(joined.withColumnRenamed("score", "_score"), "name", "_said", "institution_name")
@@ -48,4 +50,4 @@ def interleave(df: DataFrame, domain: str, order: str = "ord") -> DataFrame:
     """``df`` with ``turn``: round-robin over domains, domains in order of first appearance."""
     w = Window.partitionBy(domain)
     placed = df.withColumn("_round", F.row_number().over(w.orderBy(order))).withColumn("_first", F.min(order).over(w))
-    return placed.withColumn("turn", F.row_number().over(Window.orderBy("_round", "_first"))).drop("_round", "_first")
+    return ranked(placed, "turn", "_round", "_first").drop("_round", "_first")

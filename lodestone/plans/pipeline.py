@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodestone.functions import urls
 from lodestone.operators import catalog, history, ingest, matching, triage, verify
 from lodestone.operators.matching import Thresholds
+from lodestone.sources.stage import staged
 
 
 def sites_of(rows: DataFrame) -> DataFrame:
@@ -42,13 +43,14 @@ def phase1(rows: DataFrame, pages: DataFrame, thresholds: Thresholds = Threshold
     hosted = pages.withColumn("site_key", urls.registrable(urls.netloc_of(F.col("url"))))
     candidates, catalogs = catalog.build_catalogs(sites, hosted, ranked_priors(rows))
     placed = rows.where("site_host <> ''").withColumnRenamed("site_host", "site_key")
-    items = ingest.work_items(placed, "site_key", "institution_key", "work_name").persist()
+    items = ingest.work_items(placed, "site_key", "institution_key", "work_name")
+    items = staged(items, "items")
     open_sites = catalogs.where("candidates > 0").select("site_key")
     institutions = sites.select("site_key", F.col("institution").alias("site_institution"))
     reps = items.where("is_rep").join(open_sites, "site_key", "left_semi").join(institutions, "site_key").select("site_key", "id", "name", F.coalesce("site_institution", "institution_name").alias("institution_name"))
     listed = candidates.select("site_key", F.col("ord").cast("int").alias("cand_ord"), F.col("name").alias("cand_name"), "url", "level", "source")
     own = listed.select("site_key", urls.registrable(urls.netloc_of(F.col("url"))).alias("domain")).distinct()
-    results = matching.assign(reps, listed, own, thresholds).persist()
+    results = staged(matching.assign(reps, listed, own, thresholds), "assigned")
     results = matching.fan_out(results, items)
     shut = items.join(open_sites, "site_key", "left_anti").select("site_key", "id")
     if include_no_site:
