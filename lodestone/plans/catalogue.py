@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import html, names, similarity, urls
 from lodestone.operators import catalog, history, ingest, matching, packing, reports, search, triage, verify
+from lodestone.plans import pipeline
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,9 +96,20 @@ def _sites(spark, sf) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", "url", urls.registrable(urls.netloc_of(F.col("url"))).alias("site"), lang.alias("lang"))
 
 
-@query(f"SELECT {_site('url')} AS site, count(*) AS pages FROM pages GROUP BY 1")
+def _site_rows(spark, sf) -> DataFrame:
+    """Pages as rows of their site, their language as the institution."""
+    s = _sites(spark, sf)
+    return s.select(F.col("page_id").cast("string").alias("id"), F.col("site").alias("site_host"), F.concat(F.lit("https://www."), "site", F.lit("/"), "lang").alias("website"), F.col("lang").alias("institution_name"))
+
+
+@query(
+    f"WITH p AS (SELECT {_site('url')} AS site, regexp_extract({_path('url')}, '^/([^/]+)', 1) AS lang FROM pages), n AS (SELECT site, lang, count(*) AS n FROM p GROUP BY ALL), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY n DESC, lang) AS k FROM n WHERE lang <> '') "
+    "SELECT p.site AS site, count(*) AS pages, any_value(r.lang) AS institution FROM p LEFT JOIN r ON p.site = r.site AND r.k = 1 GROUP BY 1"
+)
 def site_buckets(spark, sf):
-    return _sites(spark, sf).groupBy("site").agg(F.count("*").alias("pages"))
+    """Sites with their rows and display names, as phase 1 groups them."""
+    return pipeline.sites_of(_site_rows(spark, sf)).select(F.col("site_key").alias("site"), F.col("expected_rows").alias("pages"), "institution")
 
 
 @query(
@@ -110,7 +122,7 @@ def site_display_name(spark, sf):
 
 @query(f"WITH s AS (SELECT {_site('url')} AS site, count(*) AS pages FROM pages GROUP BY 1) SELECT site, pages, greatest(40, least(400, 3 * pages + 20)) AS budget FROM s")
 def page_budget(spark, sf):
-    return site_buckets(spark, sf).withColumn("budget", catalog.page_budget(F.col("pages")))
+    return site_buckets(spark, sf).select("site", "pages", catalog.page_budget(F.col("pages")).alias("budget"))
 
 
 _SHAPES = ["", "/undergraduate/x", "/courses/a-b", "/subjects/art", "/study-with-us", "/postgraduate"]
@@ -144,6 +156,7 @@ def level_from_url(spark, sf):
     return _shaped(spark, sf).select("page_id", urls.level_from_url(F.col("u")).alias("level"))
 
 
+_STOPWORDS = ", ".join(f"'{w}'" for w in (*names.STOPWORDS, "hons", "honours", "honors"))
 _STOP = ", ".join(f"'{x}'" for x in html.NAV_STOPLIST)
 _FURNITURE = " OR ".join(f"contains(low, '{x}')" for x in html.NAV_SUBSTRINGS)
 
@@ -152,13 +165,20 @@ _FURNITURE = " OR ".join(f"contains(low, '{x}')" for x in html.NAV_SUBSTRINGS)
     f"WITH {_ANCHORS}, l AS (SELECT page_id, pos, anchor, regexp_replace(lower(trim(anchor)), '[ .›»>|]+$', '') AS low FROM linked) "
     f"SELECT page_id, pos, (anchor <> '' AND NOT (low IN ({_STOP}) OR length(low) < 3 OR length(low) > 160 OR {_FURNITURE} OR regexp_matches(low, '^[^\\pL_]+$')) "
     "AND (len(list_filter(regexp_split_to_array(low, '\\s+'), lambda w: w <> '')) >= 2 OR (regexp_matches(low, '^[a-z]{2,12}$') AND NOT low IN "
-    "('of','and','the','in','with','for','a','an','to','at','on','by','or','into','from','hons','honours','honors')))) AS is_course FROM l"
+    f"({_STOPWORDS})))) AS is_course FROM l"
 )
 def anchor_filter(spark, sf):
     return catalog.links(table(spark, sf, "pages"), "page_id").select("page_id", "pos", html.looks_like_course_name(F.col("anchor")).alias("is_course"))
 
 
-@query("SELECT page_id, page_id % 7 = 0 AS soft_404 FROM pages")
+_SAID = "CASE WHEN page_id % 7 = 0 THEN replace(html, '<title>', '<title>Error 404: Page not found - ') ELSE html || '<p>page not found</p>' END"
+_HEADS = "list_concat(regexp_extract_all(said, '(?is)<title[^>]*>(.*?)</title>', 1), regexp_extract_all(said, '(?is)<h[12][^>]*>(.*?)</h[12]>', 1))"
+
+
+@query(
+    f"WITH s AS (SELECT page_id, {_SAID} AS said FROM pages) SELECT page_id, len(list_filter({_HEADS}, lambda h: "
+    f"regexp_matches(trim(regexp_replace(regexp_replace(h, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')), '{html.SOFT_404.replace("'", "''")}'))) > 0 AS soft_404 FROM s"
+)
 def soft_404(spark, sf):
     """Every seventh page has its title say that it is missing; prose that does so does not count."""
     gone = F.regexp_replace("html", "<title>", "<title>Error 404: Page not found - ")
@@ -196,10 +216,8 @@ WITH {_ANCHORS}, c AS (
 
 @query(_MERGE_SQL + " SELECT site_key, url, name, source, first AS ord FROM r WHERE k = 1")
 def candidate_merge(spark, sf):
-    """Best candidate of each url: the merge by (url, stem) with one stem for all names."""
-    rank = F.when(F.col("source") == "listing", 3).otherwise(1)
-    best = F.struct(rank.alias("r"), F.length("name").alias("n"), (-F.col("ord")).alias("o"))
-    return _page_candidates(spark, sf).groupBy("site_key", "url").agg(F.max_by(F.struct("name", "source"), best).alias("c"), F.min("ord").alias("ord")).select("site_key", "url", "c.name", "c.source", "ord")
+    """Best candidate of each url and stem; the driver's names have one stem a url, as the twin has it."""
+    return catalog.merge_candidates(_page_candidates(spark, sf), "site_key").select("site_key", "url", "name", "source", "ord")
 
 
 @query()
@@ -248,12 +266,15 @@ def probe_verdict(spark, sf):
     return catalog.probe_verdicts(status_histogram(spark, sf), "user_id").select("user_id", "resolved", "verdict", "refusing")
 
 
-@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
-def json_props(spark, sf):
-    return table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
-
-
-@query()
+@query(
+    f"""WITH p AS (SELECT page_id, url, {_flat("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title FROM pages),
+n AS (SELECT page_id, 0 AS ord, title AS name, {_clean('url')} AS url FROM p
+  UNION ALL SELECT page_id, 1, 'Course ' || page_id, regexp_extract(url, '^(https?://[^/?#]*)', 1) || '/x/y' FROM p),
+l AS (SELECT *, regexp_replace(lower(trim(name)), '[ .›»>|]+$', '') AS low FROM n WHERE url <> ''),
+ok AS (SELECT *, row_number() OVER (PARTITION BY page_id, url ORDER BY ord) AS k FROM l WHERE NOT (low IN ({_STOP}) OR length(low) < 3 OR length(low) > 160 OR {_FURNITURE} OR regexp_matches(low, '^[^\\pL_]+$'))
+  AND (len(list_filter(regexp_split_to_array(low, '\\s+'), lambda w: w <> '')) >= 2 OR (regexp_matches(low, '^[a-z]{{2,12}}$') AND NOT low IN ({_STOPWORDS}))))
+SELECT page_id, CAST(ord AS INTEGER) AS ord, name, url, CASE WHEN regexp_matches({_path('url')}, '(?i)/(undergraduate|ug|bachelor)s?(/|$)') THEN 'ug' WHEN regexp_matches({_path('url')}, '(?i)/(postgraduate|pg|master|masters|graduate|research|phd|doctoral)(/|$)') THEN 'pg' END AS level, 'json' AS source FROM ok WHERE k = 1"""
+)
 def json_walk(spark, sf):
     """Candidates in nested documents made of page titles and urls."""
     pages = table(spark, sf, "pages").select("page_id", "url", html.page_title(F.col("html")).alias("title"))
@@ -402,8 +423,12 @@ def token_block_pairs(spark, sf):
 
 
 def _measured(spark, sf) -> DataFrame:
-    a, b = names.name_tokens(F.col("name")), names.name_tokens(F.col("cand"))
-    return token_block_pairs(spark, sf).withColumns({"jaccard": names.jaccard(a, b), "coverage": names.coverage(a, b)})
+    """Pairs with their token measures; each name is split once, before the pairs are formed."""
+    rows, cands = _pair_sides(spark, sf)
+    a = rows.select("site_key", F.col("id").alias("name"), names.name_tokens(F.col("name")).alias("_a"))
+    b = cands.select("site_key", F.col("cand_ord").alias("cand"), names.name_tokens(F.col("cand_name")).alias("_b"))
+    wide = token_block_pairs(spark, sf).join(a, ["site_key", "name"]).join(b, ["site_key", "cand"])
+    return wide.select("site_key", "name", "cand", names.jaccard(F.col("_a"), F.col("_b")).alias("jaccard"), names.coverage(F.col("_a"), F.col("_b")).alias("coverage"))
 
 
 @query(
@@ -481,14 +506,18 @@ def offsite_drop(spark, sf):
 
 
 @query(
-    f"WITH w AS (SELECT page_id, {_clean('url')} AS url FROM pages), seen AS (SELECT DISTINCT url FROM w WHERE page_id % 3 <> 0) "
-    "SELECT w.page_id, w.url, seen.url IS NOT NULL AS alive FROM w LEFT JOIN seen ON w.url = seen.url"
+    f"WITH w AS (SELECT page_id, {_clean('url')} AS url FROM pages), seen AS (SELECT url, bool_or(page_id % 3 <> 0) AS ok, max(CASE WHEN page_id % 3 = 0 THEN 404 END) AS http FROM w GROUP BY 1) "
+    "SELECT page_id, w.url AS url, CASE WHEN ok THEN 'probable' ELSE 'url_dead' END AS status, CASE WHEN ok THEN '' ELSE 'verify_http_' || http END AS flags, ok AS live FROM w JOIN seen ON w.url = seen.url"
 )
 def verify_pages(spark, sf):
-    """Wanted urls against the two thirds of pages that were fetched."""
-    wanted = table(spark, sf, "pages").select("page_id", urls.clean_url(F.col("url")).alias("url"))
-    seen = wanted.where("page_id % 3 <> 0").select("url").distinct().withColumn("alive", F.lit(True))
-    return wanted.join(seen, "url", "left").select("page_id", "url", F.coalesce("alive", F.lit(False)).alias("alive"))
+    """Every page's url held against a store in which every third page is gone."""
+    pages = table(spark, sf, "pages")
+    gone = F.pmod("page_id", F.lit(3)) == 0
+    stored = pages.select("url", F.when(gone, 404).otherwise(200).alias("status"), F.when(gone, "").otherwise(F.col("html")).alias("text"))
+    own = pages.select(F.lit("s").alias("site_key"), F.col("page_id").alias("id"), urls.clean_url(F.col("url")).alias("url"), html.page_title(F.col("html")).alias("name"))
+    results = own.select("site_key", "id", "url", F.lit(0.9).alias("score"), F.lit("probable").alias("status"), F.array().cast("array<string>").alias("flags"))
+    seen = verify.verify(results, own.select("site_key", "id", "name", F.lit("").alias("institution_name")), stored)
+    return seen.select(F.col("id").alias("page_id"), "url", "status", F.array_join("flags", ";").alias("flags"), F.col("live_score").isNotNull().alias("live"))
 
 
 @query(
@@ -624,13 +653,57 @@ def missing_chunks(spark, sf):
     return packing.missing_keys(table(spark, sf, "orders"), table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE s AS (SELECT {_site('url')} AS site, count(*) AS rows FROM pages GROUP BY 1), o AS (SELECT *, row_number() OVER (ORDER BY rows DESC, site) AS ord FROM s),
+walk AS (
+  SELECT site, rows, ord, 0 AS chunk, rows AS used, (SELECT sum(rows) FROM o) AS remaining, 8 AS open_ FROM o WHERE ord = 1
+  UNION ALL
+  SELECT site, rows, ord, CASE WHEN shut THEN chunk + 1 ELSE chunk END, CASE WHEN shut THEN rows ELSE used + rows END, CASE WHEN shut THEN remaining - used ELSE remaining END, CASE WHEN shut THEN open_ - 1 ELSE open_ END
+  FROM (SELECT o.site, o.rows, o.ord, w.chunk, w.used, w.remaining, w.open_, (w.used + o.rows) * w.open_ > w.remaining AND w.open_ > 1 AND (SELECT count(*) FROM o) - o.ord + 1 >= w.open_ - 1 AS shut
+    FROM walk w JOIN o ON o.ord = w.ord + 1)
+)
+SELECT site, rows, CAST(ord AS BIGINT) AS ord, CAST(chunk AS INTEGER) AS chunk FROM walk"""
+)
 def site_packing(spark, sf):
     sites = site_buckets(spark, sf).select("site", F.col("pages").alias("rows"))
     sites = sites.withColumn("ord", F.row_number().over(Window.orderBy(F.desc("rows"), "site")))
     return packing.pack_sites(sites, 8)
 
 
+# --- whole runs -----------------------------------------------------------------------------
+def _stored(spark, sf) -> DataFrame:
+    return table(spark, sf, "pages").select("url", F.lit(200).alias("status"), F.col("url").alias("final_url"), F.col("html").alias("text"))
+
+
+def _sheet(spark, sf) -> DataFrame:
+    """A course sheet of the pages: their titles as names, their urls as what earlier work found."""
+    own = table(spark, sf, "pages").select("page_id", "url", html.page_title(F.col("html")).alias("name"))
+    site = F.concat(F.lit("https://www."), urls.registrable(urls.netloc_of(F.col("url"))))
+    return own.select(F.col("page_id").alias("ord"), F.col("page_id").cast("string").alias("id"), "name", F.lit("").alias("institution_name"), site.alias("website"), F.col("url").alias("course_url"), F.lit("matched").alias("matched_status"))
+
+
+@query()
+def phase1(spark, sf):
+    """Catalogues, assignment and verification of all pages' titles against all pages."""
+    results, _, _ = pipeline.phase1(ingest.course_rows(_sheet(spark, sf)), _stored(spark, sf))
+    return results.select("site_key", "id", "url", "score", "margin", "status", F.array_join("flags", ";").alias("flags"))
+
+
+@query()
+def phase2(spark, sf):
+    """Triage of the sheet's urls against results that hold every second one, with provenance."""
+    sheet = _sheet(spark, sf)
+    k = F.pmod("ord", F.lit(4))
+    blank = lambda c: F.lit("").alias(c)
+    results = sheet.select(
+        "ord", "id", "name", "institution_name", "website", F.when(k == 0, "").when(k == 1, F.concat("course_url", F.lit("/moved"))).otherwise(F.col("course_url")).alias("course_url"),
+        F.when(k == 0, "no_match").when(k == 1, "url_dead").otherwise("verified").alias("matched_status"), blank("matched_score"), blank("match_margin"), blank("match_evidence"), blank("row_flags"),
+    )
+    empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in history.COLUMNS))
+    triaged, _, _ = pipeline.phase2(results, sheet.withColumn("processed_date", F.lit("")), empty, "run", "2026-01-01T00:00:00+00:00")
+    return triaged.select("id", "course_url", "matched_status", "matched_score", "row_flags", "triage", "url_change")
+
+
 @query(
     """SELECT d.doc_id, (l.quality IS NULL OR l.quality <> 1) AND NOT d.lang = 'de' AS searchable, '"Doc ' || d.doc_id || '" ' || d.source || ' site:a.edu' AS query FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 )

@@ -89,3 +89,89 @@ def test_triage(spark):
     assert got["3"]["triage"] == "dead" and got["3"]["row_flags"] == "url_from_source_sheet"
     assert got["4"]["triage"] == "rejected_by_gate" and got["4"]["url_change"] == "dropped"
     assert got["5"]["triage"] == "rejected_by_sharing" and got["5"]["row_flags"] == "adoption_denied_sharing"
+
+
+def plain_siblings(x, y):
+    (sx, cx), (sy, cy) = x, y
+    return sx != "" and sx == sy and (not cx or not cy or bool(cx & cy))
+
+
+def described(spark, rows):
+    from pyspark.sql import functions as F
+
+    from lodestone.functions import names
+
+    found = rows.select("site_key", "id", names.variant_stem(F.col("name")).alias("s"), names.award_classes(F.col("name")).alias("c")).collect()
+    return {(r["site_key"], r["id"]): (r["s"], frozenset(r["c"])) for r in found}
+
+
+def random_site(rng, n):
+    subjects = [f"{a} {b}" for a in ("Fine", "Modern", "Marine") for b in ("Art", "Law", "Biology")]
+    return [f"{rng.choice(subjects)}{rng.choice(['', ' BA', ' BSc', ' MSc', ' with Placement BA (Hons)', ' (Hons)'])}" for _ in range(n)]
+
+
+def test_assignment_equals_a_plain_walk(spark):
+    import random
+
+    rng = random.Random(7)
+    rows = [(s, f"{s}-{k:03}", n, "") for s in ("a.uk", "b.uk", "c.uk") for k, n in enumerate(random_site(rng, 25))]
+    cands = [(s, k, n, f"https://{s}/courses/{rng.randrange(9)}", None, "listing") for s in ("a.uk", "b.uk", "c.uk") for k, n in enumerate(random_site(rng, 12))]
+    rows, cands = spark.createDataFrame(rows, ROWS), spark.createDataFrame(cands, CANDS)
+    about = described(spark, rows)
+    limits = matching.Thresholds(share_cap=3)
+    pairs = sorted(matching.rank_pairs(rows, cands, limits).collect(), key=lambda p: (-p["score"], p["id"], p["cand_ord"]))
+    held, got, denied = {}, {}, {}
+    for p in pairs:
+        who = p["site_key"], p["id"]
+        if p["score"] < limits.floor or who in got:
+            continue
+        there = held.setdefault((p["site_key"], p["url"]), [])
+        if not there or (len(there) < 3 and all(plain_siblings(about[who], about[h]) for h in there)):
+            there.append(who)
+            got[who] = p["url"], p["cand_ord"]
+        else:
+            denied.setdefault(who, (p["url"], there[0][1], "cap_reached" if len(there) >= 3 else "stem_mismatch"))
+    out = matching.assign(rows, cands, thresholds=limits).collect()
+    assert len(out) == 75 and got and denied
+    for r in out:
+        who = r["site_key"], r["id"]
+        assert (r["url"], r["cand_ord"]) == got.get(who, ("", None))
+        if who in denied and who not in got:
+            url, holder, why = denied[who]
+            assert {f"share_denied_{why}", f"denied_url={url}", f"denied_held_by={holder}"} <= set(r["flags"])
+        best = sorted((-p["score"], p["cand_ord"]) for p in pairs if (p["site_key"], p["id"]) == who)
+        if who in got:
+            own = next(-s for s, c in best if c == got[who][1])
+            rest = [-s for s, c in best if c != got[who][1]]
+            assert abs(r["margin"] - (own - (rest[0] if rest else 0.0))) < 1e-9
+
+
+def test_triage_equals_a_plain_walk(spark):
+    import random
+
+    rng = random.Random(9)
+    cols = "ord long, id string, name string, institution_name string, website string, course_url string, matched_status string, matched_score string, match_margin string, match_evidence string, row_flags string"
+    slugs = ["fine-art", "modern-law", "marine-biology"]
+    rows = [(k, str(k), rng.choice(["Fine Art BA", "Fine Art MA", "Modern Law LLB", "Marine Biology BSc", "Fine Art"]), "", "https://www.a.uk", "" if k % 3 else f"https://a.uk/own/{k}" if k % 4 else f"https://a.uk/courses/{rng.choice(slugs)}", rng.choice(["no_match", "url_dead", "verified"]), "", "", "", "") for k in range(60)]
+    src = [(str(k), f"https://a.uk/courses/{rng.choice(slugs)}/", "matched") for k in range(60)]
+    df, sheet = spark.createDataFrame(rows, cols), spark.createDataFrame(src, "id string, course_url string, matched_status string")
+    got = {r["id"]: r for r in triage.triage(df, sheet, cap=4).collect()}
+    about = {i: v for (_, i), v in described(spark, df.withColumnRenamed("website", "site_key")).items()}
+    held = {}
+    for r in rows:
+        held.setdefault(r[5], []).append(r[1])
+    taken = 0
+    for (k, i, _, _, _, own, *_), (_, prior, _) in zip(rows, src, strict=True):
+        wanted = got[i]["triage"] in ("blank", "dead", "weak", "rejected_by_sharing")
+        prior, final = prior.rstrip("/"), own
+        if wanted:
+            there = held.setdefault(prior, [])
+            free = not there or (len(there) < 4 and all(plain_siblings(about[i], about[h]) for h in there))
+            assert free == (got[i]["triage"] != "rejected_by_sharing"), k
+            if free:
+                if i in held[own]:
+                    held[own].remove(i)
+                there.append(i)
+                final, taken = prior, taken + 1
+        assert got[i]["course_url"] == final, k
+    assert 0 < taken < 60
