@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import heapq
 import itertools
+import math
 import random
 import re
 import zlib
@@ -452,8 +453,48 @@ def test_empty_tables(spark):
 def test_rare_words_split_hosts_beside_many_frequent_ones(spark):
     letters = "abcdefghijklmnopqrstuvwxyz"
     many = " ".join("q" + "".join(letters[k // 26**i % 26] for i in range(4)) for k in range(51_000))
-    urls = spark.createDataFrame([("buyviagra.example.org", "/"), ("xcasinox.example.org", "/")], "host string, path string")
-    titles = spark.createDataFrame([("Buy viagra",), (many,), (many,)], "title string")
-    segmenter = urlfilter.fit(urls, titles)[0].value
-    assert segmenter.split("buyviagra") == ("buy", "viagra") and "casino" in segmenter.counts
-    assert segmenter.total >= 102_002 and len(segmenter.counts) < 50
+    urls = spark.createDataFrame([("buyviagra.example.org", "/"), ("bestcasino.example.org", "/")], "host string, path string")
+    titles = spark.createDataFrame([("Buy best viagra",), (many,), (many,)], "title string")
+    words = urlfilter.host_words(urls.select("host").distinct(), urlfilter.count_words(urls, titles))
+    got = {r["host"]: r["words"] for r in words.collect()}
+    assert got["buyviagra.example.org"][:2] == ["buy", "viagra"] and got["bestcasino.example.org"][:2] == ["best", "casino"]
+
+
+def test_names_are_split_at_the_least_cost():
+    rng = random.Random(12)
+    for _ in range(150):
+        counts = {"".join(rng.choice("abc") for _ in range(rng.randint(1, 4))): rng.randint(1, 50) for _ in range(rng.randint(0, 12))}
+        name, total = "".join(rng.choice("abc") for _ in range(rng.randint(1, 8))), sum(counts.values()) + 1
+        cost = lambda words: sum(math.log(total / counts[w]) if w in counts else math.log(total * 10) + 2.3 * len(w) for w in words)  # noqa: B023, E731
+        ways = [[name[i:j] for i, j in itertools.pairwise([0, *cut, len(name)])] for k in range(len(name)) for cut in itertools.combinations(range(1, len(name)), k)]
+        got = urlfilter.segment(name, counts, total)
+        assert "".join(got) == name and abs(cost(got) - min(map(cost, ways))) < 1e-9
+    assert urlfilter.segment("a" * 60, {"a" * 60: 1}, 5) == ["a" * 60]
+
+
+@pytest.mark.parametrize("large", [urlfilter.LARGE, 3])
+def test_url_scores_are_plain_naive_bayes(spark, monkeypatch, large):
+    monkeypatch.setattr(urlfilter, "LARGE", large)
+    hosts, paths = ["cheap-pills.com", "cheappills.net", "garden.org", "garden-club.com", "poker7.de", "", "gardenclub.com"], ["/", "/en/1", "/shop/Pills", "/garden/7/b", ""]
+    rng = random.Random(3)
+    rows = [(k, "garden.org" if k % 3 == 0 else rng.choice(hosts), rng.choice(paths)) for k in range(120)]
+    urls = spark.createDataFrame(rows, "page_id long, host string, path string")
+    titles = spark.createDataFrame([("The garden club",), ("Cheap shop",), (None,)], "title string")
+    got = {r["page_id"]: r["score"] for r in urlfilter.score_urls(urls, titles).collect()}
+    counts = collections.Counter(urlfilter.SEEDS)
+    for _, h, p in rows:
+        counts.update(x for x in re.split(r"[^a-zA-Z]+", f"{h if '-' in h else ''} {p}") if x)
+    counts.update("the garden club cheap shop".split())
+    held, docs_, told = {0: collections.Counter(), 1: collections.Counter()}, [0, 0], {}
+    for k, h, p in rows:
+        words = [w for part in re.findall(r"[a-z]+|\d+", h) for w in (["#"] if part.isdigit() else urlfilter.segment(part, counts, sum(counts.values())))]
+        tokens = words + ["/" + ("#" if x.isdigit() else x.lower()) for x in re.findall(r"[a-zA-Z]+|\d+", p)]
+        label = int(any(w in urlfilter.SEEDS for w in words))
+        told[k] = tokens
+        docs_[label] += 1
+        held[label].update(tokens)
+    v, totals = len(held[0] | held[1]), [sum(held[x].values()) for x in (0, 1)]
+    weigh = lambda t: math.log((held[1][t] + 0.1) / (totals[1] + 0.1 * v)) - math.log((held[0][t] + 0.1) / (totals[0] + 0.1 * v))
+    for k, tokens in told.items():
+        assert abs(got[k] - math.log((docs_[1] + 1) / (docs_[0] + 1)) - sum(map(weigh, tokens))) < 1e-9
+    assert len(got) == len(rows) and len(set(map(bool, [s > 0 for s in got.values()]))) == 2
