@@ -64,7 +64,10 @@ def course_rows(spark: SparkSession, path: str):
 def phase1(spark: SparkSession, args) -> int:
     rows = course_rows(spark, args.input)
     if args.institution:
-        rows = ingest.keep_institutions(rows, args.institution)
+        all_rows, rows = rows, ingest.keep_institutions(rows, args.institution)
+        if rows.isEmpty():
+            print(f"no institution matches {args.institution}; try one of:", *(f"{r['rows']:6d}  {r['institution_name']}" for r in ingest.suggestions(all_rows).collect()), sep="\n", file=sys.stderr)
+            return 2
     if args.limit is not None:
         rows = rows.join(ingest.site_ranking(rows).where(F.col("rank") <= args.limit).select("site_host"), "site_host", "left_semi")
     summary = ingest.load_summary(rows).first().asDict()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import names, urls
 from lodestone.functions.names import let, text_of
+from lodestone.sources.stage import ranked
 
 # Names that are a credential without a subject.
 BARE_CREDENTIALS = (
@@ -198,7 +199,7 @@ def site_ranking(rows: DataFrame, site: str = "site_host") -> DataFrame:
     """Sites with their rows, those that may be courses first."""
     course = ~F.arrays_overlap("flags", F.array(*map(F.lit, NON_COURSE_FLAGS)))
     counted = rows.where(F.col(site) != "").groupBy(site).agg(F.count_if(course).alias("course_rows"), F.count("*").alias("rows"))
-    return counted.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("course_rows"), F.desc("rows"), site)))
+    return ranked(counted, "rank", F.desc("course_rows"), F.desc("rows"), site)
 
 
 def keep_institutions(rows: DataFrame, wanted: list[str], site: str = "site_host") -> DataFrame:
@@ -207,6 +208,13 @@ def keep_institutions(rows: DataFrame, wanted: list[str], site: str = "site_host
     return rows.join(sites, site, "left_semi")
 
 
+def suggestions(rows: DataFrame, most: int = 10, site: str = "site_host") -> DataFrame:
+    """The largest sites with their rows and most frequent institution, to choose from."""
+    counted = rows.where(F.col(site) != "").groupBy(site).agg(F.count("*").alias("rows"))
+    largest = counted.orderBy(F.desc("rows"), site).limit(most)
+    return largest.join(most_frequent(rows.join(largest, site, "left_semi"), site, "institution_name").select(site, "institution_name"), site, "left").orderBy(F.desc("rows"), site)
+
+
 def load_summary(rows: DataFrame) -> DataFrame:
     return rows.agg(
         F.count("*").alias("rows"), F.countDistinct("institution_key").alias("institutions"), F.countDistinct(F.nullif("site_host", F.lit(""))).alias("sites"),

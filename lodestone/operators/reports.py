@@ -112,10 +112,10 @@ def filled_csv(results: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def coverage_markdown(results: DataFrame, catalogs: DataFrame) -> str:
-    """The report as Markdown; every number comes from a distributed aggregate, only small tables reach the driver."""
+    """The report as Markdown; every number comes from a distributed aggregate, one row a site at most reaches the driver."""
 
     def table(title: str, df: DataFrame, *columns: str) -> list[str]:
-        body = [f"| {' | '.join(str(r[c]) for c in columns)} |" for r in df.select(*columns).collect()]
+        body = [f"| {' | '.join(str(r[c]) for c in columns)} |" for r in df.select(*columns).toLocalIterator()]
         return [f"## {title}", "", f"| {' | '.join(columns)} |", "|" + "---|" * len(columns), *body, ""]
 
     top = headline(results, catalogs).first()
@@ -126,5 +126,5 @@ def coverage_markdown(results: DataFrame, catalogs: DataFrame) -> str:
     lines += table("Shared urls", share_sizes(groups).orderBy("holders"), "holders", "urls")
     lines += table("Largest groups", largest_groups(groups), "url", "holders")
     lines += table("Flags", flag_histogram(results.withColumn("flags", F.transform("flags", lambda f: F.substring_index(f, "=", 1)))).orderBy(F.desc("rows"), "flag"), "flag", "rows")
-    lines += table("Sites", catalogs.orderBy(F.desc("candidates"), "site_key").limit(200), "site_key", "candidates", "strategy", "healthy", "failure_reason")
+    lines += table("Sites", catalogs.orderBy(F.desc("candidates"), "site_key"), "site_key", "candidates", "strategy", "healthy", "failure_reason")
     return "\n".join(lines)

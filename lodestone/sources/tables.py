@@ -8,6 +8,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.functions.names import strip
+
 # The columns of the two sheets and of the results.
 LEGACY_COLUMNS = ("id", "name", "institution_name", "course_url", "Notes", "course_url_via_web_search", "matched_score", "matched_status", "website")
 RESULT_COLUMNS = LEGACY_COLUMNS + ("match_margin", "live_page_score", "match_evidence", "row_flags", "prior_course_url", "prior_matched_status", "url_change")
@@ -17,21 +19,26 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """A quoted CSV as strings; byte-order mark and blank lines dropped, fields trimmed, null as ''."""
     raw = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', inferSchema=False, encoding="UTF-8")
     named = raw.toDF(*[c.lstrip("﻿").strip() for c in raw.columns])
-    clean = named.select(*[F.trim(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c) for c in named.columns])
+    clean = named.select(*[strip(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c) for c in named.columns])
     return clean.where(F.concat_ws("", *[F.col(f"`{c}`") for c in clean.columns]) != "")
 
 
-def read_lines(spark: SparkSession, path: str, width: int = 16) -> DataFrame:
-    """A ragged CSV as ``(ord, fields array<string>)``, the header included, extra fields kept up to ``width``.
+#: A field after its comma: quoted, up to the closing quote or the line's end, or plain.
+_FIELD = r',("[^"]*+(?:""[^"]*+)*+(?:"[^,]*+|$)|[^,]*+)'
+_QUOTED = r'^"([^"]*+(?:""[^"]*+)*+)"?(.*)$'
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """A ragged CSV as ``(ord, fields array<string>)``, the header included, every field of every line.
 
-    ``ord`` rises in file order; it is exact for one file that is read whole.
+    A record is a line; a quote that stays open takes the rest of its line.
+    Lines without any text are dropped. ``ord`` rises in file order; it is exact
+    for one file that is read whole.
     """
-    names = [f"c{i}" for i in range(width)]
-    raw = spark.read.csv(path, schema=", ".join(f"{n} string" for n in names), header=False, quote='"', escape='"', mode="PERMISSIVE")
-    fields = F.filter(F.array(*names), lambda x: x.isNotNull())
-    last = F.array_max(F.transform(F.array(*names), lambda x, i: F.when(x.isNotNull(), i)))
-    whole = F.transform(F.slice(F.array(*names), 1, F.coalesce(last, F.lit(-1)) + 1), lambda x: F.coalesce(x, F.lit("")))
-    return raw.where(F.size(fields) > 0).select(F.monotonically_increasing_id().alias("ord"), whole.alias("fields"))
+    plain = lambda x: F.concat(F.replace(F.regexp_extract(x, _QUOTED, 1), F.lit('""'), F.lit('"')), F.regexp_extract(x, _QUOTED, 2))
+    found = F.regexp_extract_all(F.concat(F.lit(","), F.regexp_replace("value", "^\ufeff", "")), F.lit(_FIELD), F.lit(1))
+    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("ord"), F.transform(found, lambda x: F.when(x.startswith('"'), plain(x)).otherwise(x)).alias("fields"))
+    return lines.where(F.exists("fields", lambda x: strip(x) != ""))
 
 
 def read_keyed(spark: SparkSession, path: str, key: str = "id") -> DataFrame:

@@ -2,6 +2,7 @@
 
 import difflib
 import random
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,6 +23,12 @@ def test_normalize(spark, drop):
     assert values(spark, [(x,) for x in given], names.normalize_name(F.col("x"), drop)) == [*want, "", ""]
 
 
+def test_folding_is_that_of_unicode(spark):
+    given = ["ﬁnance ½ №5 ™", "Ærøskøbing Łódź", "ⅷ ⑫ ㏎ ﷺ", "İstanbul ǆ ŀ", "naïve café Ａ１", "हिन्दी क़", "𝒜𝟙 🄰", "“q” ‘s’", "plain"]
+    plain = lambda s: "".join(c for c in unicodedata.normalize("NFKD", s.translate(str.maketrans("‘’“”", "\'\'\"\""))) if not unicodedata.combining(c))
+    assert values(spark, [(x,) for x in given], names.ascii_fold(F.col("x"))) == [plain(x) for x in given]
+
+
 def test_course_codes(spark):
     tokens = ["7g73", "q300", "bsb50420", "22627vic", "r1160520", "bsbb0120", "10299173", "3d", "year"]
     found = values(spark, [(t,) for t in tokens], names.is_course_code(F.col("x")))

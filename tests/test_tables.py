@@ -1,5 +1,7 @@
 """Ingest, repair, history, packing, catalogues, reports, streaming."""
 
+import csv
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,6 +25,22 @@ def test_ragged_lines_are_repaired(spark, tmp_path):
     assert rows["5"]["flags"] == ["truncated_name"] and rows["1"]["flags"] == []
 
 
+def test_lines_keep_every_field(spark, tmp_path):
+    lines = ["\ufeffid,name", ",".join(f"f{k}" for k in range(40)) + ",,", '1,"a, ""b"" c"d,,"', " , ,\t", "", ",x", '"open, to the end', 'a"b,c']
+    (tmp_path / "r.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    want = [next(csv.reader([line.removeprefix("\ufeff")])) for line in lines if line.strip(" ,\t")]
+    assert [r["fields"] for r in tables.read_lines(spark, str(tmp_path / "r.csv")).orderBy("ord").collect()] == want
+    (tmp_path / "t.csv").write_text("id,name\n\u00a0 1\t,\u2003x y\x1f \n", encoding="utf-8")
+    assert [tuple(r) for r in tables.read_csv(spark, str(tmp_path / "t.csv")).collect()] == [("1", "x y")]
+
+
+def test_site_ranking_and_suggestions(spark):
+    rows = spark.createDataFrame([("a.uk", "A", []), ("a.uk", "A", []), ("a.uk", "B", []), ("b.uk", "C", []), ("", "D", [])], "site_host string, institution_name string, flags array<string>")
+    assert [(r["site_host"], r["rank"]) for r in ingest.site_ranking(rows).orderBy("rank").collect()] == [("a.uk", 1), ("b.uk", 2)]
+    assert [tuple(r) for r in ingest.suggestions(rows).select("site_host", "rows", "institution_name").collect()] == [("a.uk", 3, "A"), ("b.uk", 1, "C")]
+    assert ingest.keep_institutions(rows, ["zzz"]).isEmpty()
+
+
 def test_csv_roundtrip(spark, tmp_path):
     (tmp_path / "a.csv").write_text('﻿id,name\n1," x ""y"" "\n\n2,\n1,z\n', encoding="utf-8")
     assert [tuple(r) for r in tables.read_csv(spark, str(tmp_path / "a.csv")).collect()] == [("1", 'x "y"'), ("2", ""), ("1", "z")]

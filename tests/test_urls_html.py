@@ -1,5 +1,7 @@
 """Urls, hosts and page bodies."""
 
+from urllib.parse import urljoin
+
 from pyspark.sql import functions as F
 
 from lodestone.functions import html, urls
@@ -49,6 +51,12 @@ def test_resolve(spark):
     check(spark, pairs, lambda h: urls.resolve(F.lit("https://a.uk/d/e"), h))
 
 
+def test_resolve_dot_segments(spark):
+    base = "https://a.uk/1/2/3/4/5/6?q=1#f"
+    hrefs = ["../../../../../../../x", "../../../../x/", "./y/./z", "..", ".", "/a/b/../../../c/./d", "/a/..", "m//n/../o?u=/../v", "#t", "?z", "/p//q", "a/../../b#/../c", "../2/..", "g;x=1/../y"]
+    check(spark, [(h, urljoin(base, h)) for h in hrefs], lambda h: urls.resolve(F.lit(base), h))
+
+
 def test_soft_404(spark):
     pairs = [("<title>Error - Page not Found | L</title>", "true"), ("<h2>404 error</h2>", "true"), ("<p>page not found</p>", "false"), ("<title>Law</title>", "false"), ("", "false")]
     check(spark, pairs, html.looks_like_soft_404)
