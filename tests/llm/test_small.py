@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lodestone.llm import bpe, decontaminate, graph, linededup, minhash, quality, sharding, shingles, tokencount, toxicity, urlfilter, warc
+from lodestone.llm import bpe, common, decontaminate, graph, linededup, minhash, quality, sharding, shingles, tokencount, toxicity, urlfilter, warc
 
 DOCS = "doc_id long, text string, shard string, n_words string, kept string"
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -131,6 +131,18 @@ def test_long_texts_hash_in_pieces(monkeypatch):
     assert np.array_equal(whole, shingles.shingle_set(text, 3))
 
 
+@pytest.mark.parametrize("hot_n", [0, 1, 3000])
+def test_spread_join_is_a_join_in_parts(spark, hot_n):
+    rows = spark.createDataFrame([(7 if k < hot_n else k, k) for k in range(4000)], "k long, v long").union(spark.createDataFrame([(None, -1)], "k long, v long"))
+    known = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    hot = common.hot_keys(rows.groupBy("k").agg(F.count("*").alias("n")), "k")
+    assert [(r["k"], r["parts"]) for r in hot.collect()] == ([(7, 768)] if hot_n == 3000 else [])
+    got = sorted(tuple(r) for r in common.spread_join(rows, known, hot).select("k", "v", "w").collect())
+    assert got == sorted((7 if k < hot_n else k, k, 2 * (7 if k < hot_n else k)) for k in range(4000))
+    empty = common.hot_keys(rows.where("false").groupBy("k").agg(F.count("*").alias("n")), "k")
+    assert common.spread_join(rows.where("false"), known, empty).isEmpty()
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 30)] + [(50, 51), (51, 52), (60, 60), (50, 51)]
     got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "u long, v long")).collect()}
