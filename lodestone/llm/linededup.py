@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import materialise
+from lodestone.llm.common import hot_keys, materialise, spread_join
 from lodestone.llm.quality import count_spaces, has_word, let
 from lodestone.llm.shingles import mix
 
@@ -187,7 +187,7 @@ def remove_shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     The earlier document's lines (hashes, not texts) are copied to blocks of about
     BLOCK later ones and each of these streams past them: no task holds all
-    documents that share a line.
+    documents that share a line; the rows of a hot run or document are dealt to many tasks.
     """
     text = F.col(f"`{text_col}`").cast("string")
     key = [F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("text_hash")]
@@ -199,11 +199,14 @@ def remove_shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     runs = sequences.mapInArrow(_hash_runs(min_block_words), "id long, text_hash long, run long").select(F.struct("id", "text_hash").alias("r"), "run")
     runs = materialise(runs, "runs")
-    holders = runs.groupBy("run").agg(F.min("r").alias("e"), F.max("r").alias("last")).where("e <> last").select("run", "e")
-    pairs = materialise(runs.join(holders, "run").where("r <> e").select(F.col("r").alias("l"), "e").distinct(), "pairs")
-
-    many = pairs.groupBy("e").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    later = pairs.join(many, "e").select("e", F.pmod(F.xxhash64("l"), F.col("blocks")).cast("int").alias("block"), "l", F.col("l").alias("r"))
+    holders = runs.groupBy("run").agg(F.min("r").alias("e"), F.max("r").alias("last"), F.count("*").alias("n")).where("e <> last")
+    holders = materialise(holders.select("run", "e", "n"), "holders")
+    shared = spread_join(runs, holders.select("run", "e"), hot_keys(holders, "run"))
+    pairs = materialise(shared.where("r <> e").select(F.col("r").alias("l"), "e").distinct(), "pairs")
+
+    counted = pairs.groupBy("e").agg(F.count("*").alias("n"))
+    many = counted.select("e", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    later = spread_join(pairs, many, hot_keys(counted, "e")).select("e", F.pmod(F.xxhash64("l"), F.col("blocks")).cast("int").alias("block"), "l", F.col("l").alias("r"))
     nobody = F.lit(None).cast("struct<id:bigint,text_hash:bigint>")
     earlier = many.select("e", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), nobody.alias("l"), F.col("e").alias("r"))
     rows = later.union(earlier).join(sequences.select(F.struct("id", "text_hash").alias("r"), "h", "w"), "r")
