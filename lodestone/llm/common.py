@@ -43,29 +43,33 @@ def narrow(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns)
 
 
-#: A key of at least 1 / LARGE of all rows is a hot one.
+#: A key of at least 1 / LARGE of all rows, and of at least LEAST rows, is a hot one.
 LARGE = 1024
+LEAST = 1024
 
 
-def hot_keys(counted: DataFrame, *keys: str, n: str = "n") -> DataFrame:
-    """Of ``counted`` (one row a key, ``n`` rows each) the hot keys with their ``parts``, as a local table.
+def hot_keys(counted: DataFrame, *keys: str, n: str = "n") -> DataFrame | None:
+    """Of ``counted`` (one row a key, ``n`` rows each) the hot keys with their ``parts``; None without any.
 
     At most LARGE keys hold 1 / LARGE of all rows each, and their parts, which hold no more
-    than that each, number 2 * LARGE at most: the bound holds at every size.
+    than that (or LEAST) each, number 2 * LARGE at most: the table is bounded at every size.
     """
-    total = counted.agg(F.sum(n)).first()[0] or 0
-    parts = F.least(F.col(n), F.ceil(F.col(n) * LARGE / F.lit(max(total, 1)))).cast("int")
-    hot = counted.where((F.col(n) > 1) & (F.col(n) * LARGE >= total)).select(*keys, parts.alias("parts"))
+    total, most = counted.agg(F.sum(n), F.max(n)).first()
+    if most is None or most < LEAST or most * LARGE < total:
+        return None
+    size = max(LEAST, -(-total // LARGE))
+    hot = counted.where(F.col(n) >= size).select(*keys, F.ceil(F.col(n) / F.lit(size)).cast("int").alias("parts"))
     return counted.sparkSession.createDataFrame(hot.collect(), hot.schema)
 
 
-def spread_join(rows: DataFrame, known: DataFrame, hot: DataFrame) -> DataFrame:
-    """Inner join of ``rows`` with ``known`` on the keys of ``hot`` (:func:`hot_keys` of ``rows``).
+def spread_join(rows: DataFrame, known: DataFrame, keys: list[str], hot: DataFrame | None) -> DataFrame:
+    """Inner join of ``rows`` with ``known`` on ``keys``; ``hot``: :func:`hot_keys` of ``rows``.
 
     The rows of a hot key are dealt to its parts by a hash of the whole row, and what is
     known of it is copied to each part, so that no task gets all rows of a key.
     """
-    keys = [c for c in hot.columns if c != "parts"]
+    if hot is None:
+        return rows.join(known, keys)
     parts = F.broadcast(hot)
     dealt = rows.join(parts, keys, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*rows.columns), F.col("parts")).cast("int"), F.lit(0)))
     copied = known.join(parts, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts"), F.lit(1)) - 1)))

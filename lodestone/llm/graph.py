@@ -33,7 +33,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         above = now.select(F.col("v").alias("u"), F.col("u").alias("v"))
         hot = hot_keys(above.groupBy("u").agg(F.count("*").alias("n")), "u")
-        large = proper(spread_join(above, least, hot).select(F.col("v").alias("u"), F.col("m").alias("v")))
+        large = proper(spread_join(above, least, ["u"], hot).select(F.col("v").alias("u"), F.col("m").alias("v")))
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
         now = materialise(proper(small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v"))), "edges")

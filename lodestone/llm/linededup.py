@@ -201,12 +201,12 @@ def remove_shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
     runs = materialise(runs, "runs")
     holders = runs.groupBy("run").agg(F.min("r").alias("e"), F.max("r").alias("last"), F.count("*").alias("n")).where("e <> last")
     holders = materialise(holders.select("run", "e", "n"), "holders")
-    shared = spread_join(runs, holders.select("run", "e"), hot_keys(holders, "run"))
+    shared = spread_join(runs, holders.select("run", "e"), ["run"], hot_keys(holders, "run"))
     pairs = materialise(shared.where("r <> e").select(F.col("r").alias("l"), "e").distinct(), "pairs")
 
     counted = pairs.groupBy("e").agg(F.count("*").alias("n"))
     many = counted.select("e", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    later = spread_join(pairs, many, hot_keys(counted, "e")).select("e", F.pmod(F.xxhash64("l"), F.col("blocks")).cast("int").alias("block"), "l", F.col("l").alias("r"))
+    later = spread_join(pairs, many, ["e"], hot_keys(counted, "e")).select("e", F.pmod(F.xxhash64("l"), F.col("blocks")).cast("int").alias("block"), "l", F.col("l").alias("r"))
     nobody = F.lit(None).cast("struct<id:bigint,text_hash:bigint>")
     earlier = many.select("e", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), nobody.alias("l"), F.col("e").alias("r"))
     rows = later.union(earlier).join(sequences.select(F.struct("id", "text_hash").alias("r"), "h", "w"), "r")

@@ -157,7 +157,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
     """
     counted = pairs.groupBy("centre").agg(F.count("*").alias("n"))
     many = counted.select("centre", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    members = spread_join(pairs, many, hot_keys(counted, "centre")).select("centre", "member", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int").alias("block"), F.col("member").alias("doc_id"))
+    members = spread_join(pairs, many, ["centre"], hot_keys(counted, "centre")).select("centre", "member", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int").alias("block"), F.col("member").alias("doc_id"))
     centres = many.select("centre", F.lit(None).cast("long").alias("member"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("centre").alias("doc_id"))
     rows = members.union(centres).join(docs, "doc_id").select("centre", "member", "block", "text")
     dealt = rows.repartition("centre", "block").sortWithinPartitions("centre", "block", F.col("member").asc_nulls_first())
@@ -220,7 +220,7 @@ def _within_clusters(clusters: DataFrame, linked: DataFrame, texts: DataFrame, s
     )
     blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
     mixed = mixed.where("parts > 1").select("cluster", "main", blocks(F.col("n") - F.col("in_main")).alias("left_blocks"), blocks(F.col("n")).alias("right_blocks"))
-    rows = spread_join(nodes, mixed, hot_keys(clusters.groupBy("cluster").agg(F.count("*").alias("n")), "cluster"))
+    rows = spread_join(nodes, mixed, ["cluster"], hot_keys(clusters.groupBy("cluster").agg(F.count("*").alias("n")), "cluster"))
     place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = rows.where("component <> main").withColumn("i", place("left_blocks")).withColumn("j", every("right_blocks")).withColumn("side", F.lit(0))
@@ -270,14 +270,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = keyed.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last"), F.count("*").alias("n")).where("centre <> last")
     buckets = materialise(buckets.select("key", "centre", "n"), "buckets")
     hot = hot_keys(buckets, "key")
-    shared = materialise(spread_join(keyed, buckets.select("key", "centre"), hot), "shared")
+    shared = materialise(spread_join(keyed, buckets.select("key", "centre"), ["key"], hot), "shared")
     signs = classes.select("rep", "n", "s")
 
     def estimated(pairs: DataFrame) -> DataFrame:
         a = signs.select(F.col("rep").alias("centre"), F.struct("n", "s").alias("a"))
         b = signs.select(F.col("rep").alias("member"), F.struct("n", "s").alias("b"))
         pairs = materialise(pairs, "starred")
-        both = spread_join(pairs.join(b, "member"), a, hot_keys(pairs.groupBy("centre").agg(F.count("*").alias("n")), "centre"))
+        both = spread_join(pairs.join(b, "member"), a, ["centre"], hot_keys(pairs.groupBy("centre").agg(F.count("*").alias("n")), "centre"))
         return both.where(_sizes_fit("a", "b", percent) & _agree("a", "b", most)).select("centre", "member").distinct()
 
     stars = materialise(estimated(shared.where("rep <> centre").select("centre", F.col("rep").alias("member")).distinct()), "stars")
@@ -287,13 +287,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = shared.join(clusters, shared["rep"] == clusters["node"], "left").select("key", "rep", F.coalesce("cluster", "rep").alias("cluster"))
     parts = placed.groupBy("key", "cluster").agg(F.count("*").alias("n"))
     mixed = parts.groupBy("key").agg(F.max_by("cluster", F.struct("n", "cluster")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main")
-    open_rows = spread_join(placed, mixed, hot).join(signs, "rep")
+    open_rows = spread_join(placed, mixed, ["key"], hot).join(signs, "rep")
     others = open_rows.where("cluster <> main").select("key", F.struct("rep", "cluster", "main", "n", "s").alias("a"))
     everyone = open_rows.select("key", F.struct("rep", "cluster", "main", "n", "s").alias("b"))
     # Of two outsiders the one with the smaller id is the left one; a member of the main cluster is always the right one.
     once = (F.col("b.cluster") == F.col("b.main")) | (F.col("a.rep") < F.col("b.rep"))
     apart = (
-        spread_join(everyone, others, hot)
+        spread_join(everyone, others, ["key"], hot)
         .where((F.col("a.cluster") != F.col("b.cluster")) & once & _sizes_fit("a", "b", percent) & _agree("a", "b", most))
         .select(F.least("a.rep", "b.rep").alias("centre"), F.greatest("a.rep", "b.rep").alias("member"))
         .distinct()
@@ -311,6 +311,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     group = classes.join(last, F.col("rep") == F.col("node"), "left").select("set_a", "set_b", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
     sets = ["set_a", "set_b", "n_shingles"]
     copied = hot_keys(classes.withColumnRenamed("n", "n_shingles"), *sets, n="copies")
-    grouped = spread_join(some.select("doc_id", *sets), group, copied).select("doc_id", "n_shingles", "component_id")
+    grouped = spread_join(some.select("doc_id", *sets), group, sets, copied).select("doc_id", "n_shingles", "component_id")
     alone = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return grouped.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
