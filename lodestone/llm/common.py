@@ -48,32 +48,35 @@ LARGE = 1024
 LEAST = 1024
 
 
-def hot_keys(counted: DataFrame, *keys: str, n: str = "n") -> DataFrame | None:
-    """Of ``counted`` (one row a key, ``n`` rows each) the hot keys with their ``parts``; None without any.
+def hot_keys(counted: DataFrame, *keys: str, n: str = "n") -> dict[int, int]:
+    """Of ``counted`` (one row a key, ``n`` rows each) the hashes of the hot keys with their parts, powers of two.
 
-    At most LARGE keys hold 1 / LARGE of all rows each, and their parts, which hold no more
-    than that (or LEAST) each, number 2 * LARGE at most: the table is bounded at every size.
+    At most LARGE keys hold 1 / LARGE of all rows each, and their parts, as many as make
+    none larger than that (or LEAST), number 4 * LARGE at most: a bound at every size.
     """
     total, most = counted.agg(F.sum(n), F.max(n)).first()
     if most is None or most < LEAST or most * LARGE < total:
-        return None
+        return {}
     size = max(LEAST, -(-total // LARGE))
-    hot = counted.where(F.col(n) >= size).select(*keys, F.ceil(F.col(n) / F.lit(size)).cast("int").alias("parts"))
-    return counted.sparkSession.createDataFrame(hot.collect(), hot.schema)
+    hot = counted.where(F.col(n) >= size).select(F.xxhash64(*keys).alias("h"), F.col(n).alias("n"))
+    return {r["h"]: 1 << (-(-r["n"] // size) - 1).bit_length() for r in hot.collect()}
 
 
-def spread_join(rows: DataFrame, known: DataFrame, keys: list[str], hot: DataFrame | None) -> DataFrame:
+def spread_join(rows: DataFrame, known: DataFrame, keys: list[str], hot: dict[int, int]) -> DataFrame:
     """Inner join of ``rows`` with ``known`` on ``keys``; ``hot``: :func:`hot_keys` of ``rows``.
 
     The rows of a hot key are dealt to its parts by a hash of the whole row, and what is
-    known of it is copied to each part, so that no task gets all rows of a key.
+    known of it is copied to each part, so that no task gets all rows of a key. Both
+    sides tell hot keys by their hash: one that shares it is dealt likewise.
     """
-    if hot is None:
+    if not hot:
         return rows.join(known, keys)
-    parts = F.broadcast(hot)
-    dealt = rows.join(parts, keys, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*rows.columns), F.col("parts")).cast("int"), F.lit(0)))
-    copied = known.join(parts, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts"), F.lit(1)) - 1)))
-    return dealt.drop("parts").join(copied.drop("parts"), [*keys, "_part"]).drop("_part")
+    parts = F.lit(1)
+    for count in sorted(set(hot.values())):
+        parts = F.when(F.xxhash64(*keys).isin([h for h, p in hot.items() if p == count]), count).otherwise(parts)
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(*rows.columns), parts).cast("int"))
+    copied = known.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return dealt.join(copied, [*keys, "_part"]).drop("_part")
 
 
 def utf8_bytes(text: Column) -> Column:

@@ -137,11 +137,11 @@ def test_spread_join_is_a_join_in_parts(spark, hot_n):
     rows = spark.createDataFrame([(7 if k < hot_n else k, k) for k in range(4000)], "k long, v long").union(spark.createDataFrame([(None, -1)], "k long, v long"))
     known = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
     hot = common.hot_keys(rows.groupBy("k").agg(F.count("*").alias("n")), "k")
-    assert (hot and [tuple(r) for r in hot.collect()]) == ([(7, 3)] if hot_n == 3000 else None)
+    assert list(hot.values()) == ([4] if hot_n == 3000 else [])
     got = sorted(tuple(r) for r in common.spread_join(rows, known, ["k"], hot).select("k", "v", "w").collect())
     assert got == sorted((7 if k < hot_n else k, k, 2 * (7 if k < hot_n else k)) for k in range(4000))
     empty = common.hot_keys(rows.where("false").groupBy("k").agg(F.count("*").alias("n")), "k")
-    assert empty is None and common.spread_join(rows.where("false"), known, ["k"], empty).isEmpty()
+    assert empty == {} and common.spread_join(rows.where("false"), known, ["k"], empty).isEmpty()
 
 
 def test_components(spark):
