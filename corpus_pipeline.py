@@ -72,10 +72,9 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     path = public_tokenizers.path("byte_bpe_50k.json")
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
-    ids = bpe.encode(docs.select(*COLUMNS, digest.alias("text_sha256")), path)
-    kept = ids.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long")).withColumn("ids_sha256", F.sha2("ids", 256))
-    back = bpe.decode(kept, path)
-    return back.select("doc_id", "lang", "source", "n_tokens", "ids_sha256", (F.sha2("text", 256) == F.col("text_sha256")).alias("exact"), "text")
+    back = bpe.round_trip(docs.select(*COLUMNS, digest.alias("text_sha256")), path)
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return back.select("doc_id", "lang", "source", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), (F.sha2("text", 256) == F.col("text_sha256")).alias("exact"), "text")
 
 
 def _documents(df: DataFrame) -> DataFrame:

@@ -13,9 +13,8 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from lodestone.llm.common import byte_alphabet
+from lodestone.llm.common import byte_alphabet, released
 
 # Fixed value: the split pattern of the library's byte-level pre-tokenizer.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -60,9 +59,6 @@ class ChunkEncoder:
     """
 
     def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         to_byte = {c: b for b, c in enumerate(byte_alphabet())}
@@ -167,19 +163,28 @@ def encoder(path: str) -> ChunkEncoder:
     return _encoders[path]
 
 
-def _mapped(df: DataFrame, source: str, target: str, kind: str, make) -> DataFrame:
-    """All columns of ``df`` but ``source`` and ``target``, and ``target`` made from ``source``."""
-    kept = [c for c in df.columns if c not in (source, target)]
+def _mapped(df: DataFrame, source: str, targets: dict[str, str], make) -> DataFrame:
+    """All columns of ``df`` but ``source`` and ``targets`` (kinds by name), and those, a tuple that ``make`` makes from ``source``."""
+    kept = [c for c in df.columns if c != source and c not in targets]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                made = pa.array([make(cell.as_py()) for cell in part.column(source)], pa.binary() if kind == "binary" else pa.string())
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), made], names=[*kept, target])
+                made = zip(*(make(cell.as_py()) for cell in part.column(source)), strict=True)
+                arrays = [pa.array(column, pa.binary() if kind == "binary" else pa.string()) for column, kind in zip(made, targets.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *arrays], names=[*kept, *targets])
 
     types = dict(df.dtypes)
-    return df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{source}`")).mapInArrow(run, ", ".join([*(f"`{c}` {types[c]}" for c in kept), f"`{target}` {kind}"]))
+    return df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{source}`")).mapInArrow(released(run), ", ".join([*(f"`{c}` {types[c]}" for c in kept), *(f"`{c}` {kind}" for c, kind in targets.items())]))
+
+
+def _to_ids(text: str | None, path: str) -> bytes:
+    return encoder(path).encode(text).astype("<u4").tobytes()
+
+
+def _to_text(ids: bytes | None, path: str) -> str:
+    return encoder(path).decode(np.frombuffer(ids or b"", "<u4"))
 
 
 def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
@@ -192,9 +197,23 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
     encoded whole, in time in proportion to it. Null counts as empty and gives no ids. Repeated rows get equal ids; an empty table gives no rows;
     a column that bears the name of ``ids_col`` is replaced.
     """
-    return _mapped(docs, text_col, ids_col, "binary", lambda text: encoder(tokenizer_path).encode(text).astype("<u4").tobytes())
+    return _mapped(docs, text_col, {ids_col: "binary"}, lambda text: (_to_ids(text, tokenizer_path),))
 
 
 def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
     """``encoded`` with ``text_col`` in place of ``ids_col``; the reverse of :func:`encode`."""
-    return _mapped(encoded, ids_col, text_col, "string", lambda ids: encoder(tokenizer_path).decode(np.frombuffer(ids or b"", "<u4")))
+    return _mapped(encoded, ids_col, {text_col: "string"}, lambda ids: (_to_text(ids, tokenizer_path),))
+
+
+def round_trip(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+    """``docs`` with the ids of :func:`encode`, and in place of its text what :func:`decode` makes of them.
+
+    Both are made by one Python worker a task. One step after the other would be two
+    workers a task, each with its own vocabulary and texts on their way.
+    """
+
+    def make(text: str | None) -> tuple[bytes, str]:
+        ids = _to_ids(text, tokenizer_path)
+        return ids, _to_text(ids, tokenizer_path)
+
+    return _mapped(docs, text_col, {ids_col: "binary", text_col: "string"}, make)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,23 @@ def materialise(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(run):
+    """``run`` for ``mapInArrow``; after each task the worker, which waits for the next one, gives its free memory back.
+
+    Workers outlive their tasks and stages, and else keep the most that any of them took.
+    """
+
+    def own(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return own
+
+
 def narrow(df: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns: others may bear names that an operator uses itself."""
     return df.select(*columns)

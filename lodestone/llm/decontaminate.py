@@ -12,11 +12,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import materialise
+from lodestone.llm.common import materialise, released
 
 #: An automaton has at most so many nodes of about 40 bytes; a benchmark that needs
 #: more is scanned by several automata, one after the other, with the same result.
 MAX_NODES = 6 << 20
+#: Rows of a batch that are made into results at a time.
+ROWS = 256
 
 # Bytes of words (0-9, a-z after lower-casing A-Z, all of non-ASCII) as they are, others a space.
 _NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -114,7 +116,7 @@ def _scan_all(held, size: int, with_text: bool, only_hits: bool = False):
             _built[name] = build(held.value, size)
         own = _built[name]
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             n_words, all_ranges, all_items, clean = [], [], [], []
             for cell in batch.column("text"):
                 text = cell.as_py()
@@ -128,7 +130,7 @@ def _scan_all(held, size: int, with_text: bool, only_hits: bool = False):
             done = pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *made], names=[*kept, "n_words", "ranges", "items", "clean_text"])
             yield done.filter(pa.array([len(r) > 0 for r in all_ranges], pa.bool_())) if only_hits else done
 
-    return run
+    return released(run)
 
 
 def in_order(items: set[str | None]) -> list[str | None]:
@@ -211,7 +213,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, columns: list[str]
 
 def _unite(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             n_words, ranges, items, clean = [], [], [], []
             for text, found, ids in zip(*(batch.column(c).to_pylist() for c in ("text", "ranges", "items")), strict=True):
                 whole = merge(np.array([(r["start"], r["end"]) for r in found or []], np.int64).reshape(-1, 2))
@@ -223,4 +225,4 @@ def _unite(with_text: bool):
             made = [pa.array(n_words, pa.int64()), pa.array(ranges, batch.column("ranges").type), pa.array(items, pa.list_(pa.string())), pa.array(clean, pa.string())]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *made], names=[*kept, "n_words", "ranges", "items", "clean_text"])
 
-    return run
+    return released(run)

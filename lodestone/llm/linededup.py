@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import hot_keys, materialise, spread_join
+from lodestone.llm.common import hot_keys, materialise, released, spread_join
 from lodestone.llm.quality import count_spaces, has_word, let
 from lodestone.llm.shingles import mix
 
@@ -197,7 +197,7 @@ def remove_shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
     )
     sequences = materialise(sequences.select("id", "text_hash", "s.h", "s.w").where("size(h) > 0").dropDuplicates(["id", "text_hash"]), "sequences")
 
-    runs = sequences.mapInArrow(_hash_runs(min_block_words), "id long, text_hash long, run long").select(F.struct("id", "text_hash").alias("r"), "run")
+    runs = sequences.mapInArrow(released(_hash_runs(min_block_words)), "id long, text_hash long, run long").select(F.struct("id", "text_hash").alias("r"), "run")
     runs = materialise(runs, "runs")
     holders = runs.groupBy("run").agg(F.min("r").alias("e"), F.max("r").alias("last"), F.count("*").alias("n")).where("e <> last")
     holders = materialise(holders.select("run", "e", "n"), "holders")
@@ -212,7 +212,7 @@ def remove_shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
     rows = later.union(earlier).join(sequences.select(F.struct("id", "text_hash").alias("r"), "h", "w"), "r")
     rows = rows.select(F.col("e.id").alias("e_id"), F.col("e.text_hash").alias("e_text"), "block", F.col("l.id").alias("l_id"), F.col("l.text_hash").alias("l_text"), "h", "w")
     dealt = rows.repartition("e_id", "e_text", "block").sortWithinPartitions("e_id", "e_text", "block", F.col("l_id").asc_nulls_first())
-    deleted = dealt.mapInArrow(_align(min_block_words), "id long, text_hash long, gone array<int>")
+    deleted = dealt.mapInArrow(released(_align(min_block_words)), "id long, text_hash long, gone array<int>")
     deleted = deleted.select("id", "text_hash", F.explode("gone").alias("g")).groupBy("id", "text_hash").agg(F.collect_set("g").alias("gone"))
 
     own = [c for c in docs.columns if c not in ("n_lines", "n_deleted", "kept")]

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import hot_keys, materialise, spread_join
+from lodestone.llm.common import hot_keys, materialise, released, spread_join
 from lodestone.llm.graph import components
 from lodestone.llm.shingles import intersection_size, mix, shingle_set
 
@@ -161,7 +161,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
     centres = many.select("centre", F.lit(None).cast("long").alias("member"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("centre").alias("doc_id"))
     rows = members.union(centres).join(docs, "doc_id").select("centre", "member", "block", "text")
     dealt = rows.repartition("centre", "block").sortWithinPartitions("centre", "block", F.col("member").asc_nulls_first())
-    return dealt.mapInArrow(_confirm(size, percent), "u long, v long")
+    return dealt.mapInArrow(released(_confirm(size, percent)), "u long, v long")
 
 
 def _cross(size: int, percent: int):
@@ -227,7 +227,7 @@ def _within_clusters(clusters: DataFrame, linked: DataFrame, texts: DataFrame, s
     right = rows.withColumn("j", place("right_blocks")).withColumn("i", every("left_blocks")).withColumn("side", F.lit(1))
     both = left.select("cluster", "i", "j", "side", "node", "component", "main").union(right.select("cluster", "i", "j", "side", "node", "component", "main"))
     dealt = both.join(texts.withColumnRenamed("doc_id", "node"), "node").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "side")
-    return dealt.mapInArrow(_cross(size, percent), "u long, v long")
+    return dealt.mapInArrow(released(_cross(size, percent)), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80) -> DataFrame:
@@ -260,7 +260,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pieces. An empty table gives no rows. Other columns are not read.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = materialise(own.mapInArrow(_sign(shingle_words, percent), SIGNED), "signed")
+    signed = materialise(own.mapInArrow(released(_sign(shingle_words, percent)), SIGNED), "signed")
     most = largest_mismatch(percent / 100)
 
     some = signed.where("n_shingles > 0 and doc_id is not null")

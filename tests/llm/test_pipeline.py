@@ -156,3 +156,10 @@ def test_all_stages_take_odd_and_empty_tables(spark, tmp_path):
                 assert len(rows) == len(table)
             if name == "line_dedup":
                 assert sum(r["doc_id"] is None for r in rows) == sum(r[0] is None for r in table)
+
+
+def test_encoding_takes_one_python_worker_a_task(spark):
+    # Each Python step of a stage is a worker of its own in every task that runs, and holds the vocabulary.
+    docs = spark.createDataFrame([(1, "ab c", "en", "s", 4)], "doc_id long, text string, lang string, source string, n_chars long")
+    plan = corpus_pipeline.encoding(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1

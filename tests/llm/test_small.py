@@ -222,6 +222,14 @@ def test_bpe_columns(spark):
     assert [r["text"] for r in back] == ["ab c", "", ""] and back[0]["shard"] == "x"
 
 
+def test_round_trip_is_encode_and_decode(spark):
+    rows = docs(spark, ["ab c", None, "", "é 世界 <|endoftext|> the", prose(300, 1)])
+    both = bpe.round_trip(rows, BYTE).orderBy("doc_id").collect()
+    ids = bpe.encode(rows, BYTE).orderBy("doc_id").collect()
+    assert [r["ids"] for r in both] == [r["ids"] for r in ids] and both[0]["shard"] == "x"
+    assert [r["text"] for r in both] == [r["text"] for r in bpe.decode(bpe.encode(rows, BYTE), BYTE).orderBy("doc_id").collect()]
+
+
 # --- 5 -------------------------------------------------------------------------------------
 def test_warc(spark, tmp_path):
     page = "<p>" + "long " * 40
